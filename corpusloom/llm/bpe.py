@@ -12,6 +12,7 @@ gives way to it; repeated rows are encoded each.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from itertools import chain
 
@@ -26,7 +27,9 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _SPACE = r"\p{White_Space}"
 _NEVER = 1 << 62
 #: Pieces remembered by one task, and the longest of them in characters.
-MEMORY, LONGEST = 200_000, 64
+MEMORY, LONGEST = 500_000, 64
+#: Children of a node of the segment tree; a minimum over a short list is one fast call.
+FAN = 32
 
 
 def byte_letters() -> dict[int, str]:
@@ -37,31 +40,26 @@ def byte_letters() -> dict[int, str]:
 
 
 class SegmentTree:
-    """Leaves are ints (``_NEVER``: no merge); ``root`` is their minimum."""
+    """Minima over ints (``_NEVER``: no merge) with ``FAN`` children per node; ``root()`` is the least leaf."""
 
     def __init__(self, leaves: list[int]):
-        size = 1
-        while size < len(leaves):
-            size *= 2
-        self.size = size
-        self.nodes = [_NEVER] * size + leaves + [_NEVER] * (size - len(leaves))
-        for i in range(size - 1, 0, -1):
-            self.nodes[i] = min(self.nodes[2 * i], self.nodes[2 * i + 1])
-
-    @property
+        self.levels = [leaves]
+        while len(below := self.levels[-1]) > FAN:
+            self.levels.append([min(below[i : i + FAN]) for i in range(0, len(below), FAN)])
+
     def root(self) -> int:
-        return self.nodes[1]
+        return min(self.levels[-1])
 
     def put(self, place: int, value: int) -> None:
-        nodes, i = self.nodes, place + self.size
-        nodes[i] = value
-        while i > 1:
-            i //= 2
-            left, right = nodes[2 * i], nodes[2 * i + 1]
-            low = left if left < right else right
-            if nodes[i] == low:
-                break
-            nodes[i] = low
+        levels = self.levels
+        levels[0][place] = value
+        for k in range(1, len(levels)):
+            at = place // FAN * FAN
+            low = min(levels[k - 1][at : at + FAN])
+            place //= FAN
+            if levels[k][place] == low:
+                return
+            levels[k][place] = low
 
 
 class Codec:
@@ -97,33 +95,39 @@ class Codec:
         n = len(ids)
         if n < 2:
             return tuple(ids)
-        pairs, after, before = self.merges, [*range(1, n + 1)], [*range(-1, n - 1)]
-
-        def leaf(i: int) -> int:
-            j = after[i]
-            hit = pairs.get((ids[i], ids[j])) if j < n else None
-            return hit[0] * n + i if hit else _NEVER
-
-        tree = SegmentTree([leaf(i) for i in range(n)])
-        while (low := tree.root) != _NEVER:
+        pairs, never = self.merges.get, _NEVER
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        # A leaf is rank * n + place; the merged id is looked up again when its turn comes.
+        leaves = [hit[0] * n + i if (hit := pairs((ids[i], ids[i + 1]))) else never for i in range(n - 1)]
+        leaves.append(never)
+        tree = SegmentTree(leaves)
+        small, put = len(tree.levels) == 1, tree.put
+        while (low := min(leaves) if small else tree.root()) != never:
             i = low % n
             j = after[i]
-            ids[i] = pairs[ids[i], ids[j]][1]
+            own = ids[i] = pairs((ids[i], ids[j]))[1]
             ids[j] = -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            tree.put(j, _NEVER)
-            tree.put(i, leaf(i))
-            if (k := before[i]) >= 0:
-                tree.put(k, leaf(k))
+            after[i] = k = after[j]
+            right = never
+            if k < n:
+                before[k] = i
+                if hit := pairs((own, ids[k])):
+                    right = hit[0] * n + i
+            h = before[i]
+            if small:
+                leaves[j] = never
+                leaves[i] = right
+                if h >= 0:
+                    leaves[h] = hit[0] * n + h if (hit := pairs((ids[h], own))) else never
+            else:
+                put(j, never)
+                put(i, right)
+                if h >= 0:
+                    put(h, hit[0] * n + h if (hit := pairs((ids[h], own))) else never)
         return tuple(i for i in ids if i >= 0)
 
     def _plain(self, text: str) -> list[int]:
-        known = self.known
-        if len(known) > MEMORY:
-            known.clear()
-        return [*chain.from_iterable(map(known.__getitem__, self.pieces(text)))]
+        return [*chain.from_iterable(map(self.known.__getitem__, self.pieces(text)))]
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
@@ -144,17 +148,37 @@ class Codec:
 
 
 class _Known(dict):
+    """Pieces met so far in two generations: when the young one is full it becomes the old one."""
+
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.codec.merge(piece.encode("utf-8", "replace"))
-        if len(piece) <= LONGEST:
-            self[piece] = ids
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.codec.merge(piece.encode("utf-8", "replace"))
+            if len(piece) > LONGEST:
+                return ids
+        if len(self) >= MEMORY:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
+_CODECS: dict[str, Codec] = {}
+
+
+def codec_of(vocabulary: str) -> Codec:
+    """The codec of a vocabulary; a worker keeps the last one, and the pieces it has met, from task to task."""
+    name = hashlib.sha256(vocabulary.encode()).hexdigest()
+    if name not in _CODECS:
+        _CODECS.clear()
+        _CODECS[name] = Codec(vocabulary)
+    return _CODECS[name]
+
+
 def read_vocabulary(path: str) -> str:
     """The text of a vocabulary file; read on the driver and sent to tasks (its size is the file's)."""
     with open(path, encoding="utf-8") as f:
@@ -180,7 +204,7 @@ def encode_decode(
         fields.append(T.StructField(decoded_col, T.StringType()))
 
     def make():
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
 
         def work(texts: list) -> list:
             ids = [codec.encode(t) for t in texts]
@@ -201,7 +225,7 @@ def decode_ids(df: DataFrame, vocabulary: str, ids_col: str = "ids", decoded_col
     def decode(parts):
         import pandas as pd
 
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         return pd.Series([codec.decode(ids if ids is not None else ()) for ids in parts])
 
     return df.withColumn(decoded_col, decode(ids_col))

@@ -81,11 +81,11 @@ def expanded_tokens(p: Column) -> Column:
     return F.when(p["type"] == "text", F.lit(0).cast("bigint")).otherwise(F.greatest(units, F.lit(1).cast("bigint")))
 
 
-def _visit(p: Column) -> Column:
-    """The output of one part: escaped text or a placeholder."""
-    return F.when(p["type"] == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), _kind(p), F.lit("|>"))
-    )
+def _visit(p: Column, i: Column) -> Column:
+    """The output of one part: escaped text or a placeholder.  No control string can form where two parts meet."""
+    text = escape(F.coalesce(p["text"], F.lit("")))
+    text = F.when(i == 0, text).otherwise(F.regexp_replace(text, r"^(?=[|/sI])", r"\\"))
+    return F.when(p["type"] == "text", text).otherwise(F.concat(F.lit("<|"), _kind(p), F.lit("|>")))
 
 
 def format_chat(turns: DataFrame, parts_col: str = "parts", loss_role: str = "assistant") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat
+from . import bpe, chat, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,3 +72,32 @@ FROM e GROUP BY conv_id
 
 QUERIES = {"op8_bpe": op8_bpe, "op10_chat": op10_chat}
 ORACLE_SQL = {"op10_chat": OP10_SQL}
+
+
+def id_hash(parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def _verdict(scored: DataFrame, held_out) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return _verdict(quality.score_quality(docs, labels, id_hash(5) != 0, keep=["doc_id"]), id_hash(5) == 0)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return _verdict(toxicity.score_toxicity(docs, labels, id_hash(4) != 2, keep=["doc_id"]), id_hash(4) == 2)
+
+
+QUERIES |= {"op3_quality": op3_quality, "op6_toxicity": op6_toxicity}
