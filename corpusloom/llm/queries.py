@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, quality, toxicity
+from . import bpe, chat, linededup, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,3 +101,38 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op3_quality": op3_quality, "op6_toxicity": op6_toxicity}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs).select("doc_id", "source", "block", "slot", "in_block")
+
+
+def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "source", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+OP4_SQL = """
+WITH l AS (
+  SELECT rowid AS r, doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
+t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
+n AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+c AS (SELECT source, key, count(DISTINCT r) AS n FROM t WHERE key <> '' GROUP BY source, key),
+b AS (SELECT c.source, c.key FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.source
+      WHERE c.n >= 5 AND c.n / n.pages > 0.1),
+k AS (SELECT t.*, b.key IS NOT NULL AS gone
+      FROM t LEFT JOIN b ON t.source IS NOT DISTINCT FROM b.source AND t.key = b.key)
+SELECT doc_id, source, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS text_sha256
+FROM k GROUP BY r, doc_id, source
+UNION ALL
+SELECT doc_id, source, 0, 0, NULL FROM documents WHERE text IS NULL
+"""
+
+QUERIES |= {"op1_mixing": op1_mixing, "op4_linededup": op4_linededup}
+ORACLE_SQL |= {"op4_linededup": OP4_SQL}

@@ -1,27 +1,32 @@
-"""Toxicity from class-conditional Kneser-Ney models of words' letters.
-
-Two interpolated Kneser-Ney models of order ``ORDER`` over letters inside words, one
-from toxic and one from ordinary labelled documents.  The highest order is counted in
-each class; all lower orders are continuation counts shared by both classes, so that a
-rare expression falls back to the same numbers on either side and says nothing.  A
-word's evidence is the difference of its two log-likelihoods.  A document is scored by
-that difference at several lengths, each divided by its length: the whole document,
-its best window of ``WINDOW`` words, and its strongest one and three words.  A logistic
-curve, fitted on labelled rows that the counts had not seen, turns these into a
-probability.
+"""Toxicity from class-conditional Kneser-Ney models of words and of their letters.
+
+Two pairs of models are learned from toxic and from ordinary labelled documents:
+
+* words: in how many documents of its class a word stands.  An absolute discount is
+  taken from each class's count, and the discounted mass goes back through the counts
+  that both classes share, so rare words say little and unseen ones nothing;
+* letters inside words: interpolated Kneser-Ney of order ``ORDER``.  The highest order
+  is counted in each class; all lower orders are continuation counts shared by both.
+
+A word's evidence is the difference of its two log-likelihoods.  A document is measured
+by that difference at several lengths, each divided by its length: the whole document,
+its best window of ``WINDOW`` words, its strongest one and three words; and by the share
+of clear words.  A logistic curve, fitted on labelled rows that the counts had not seen,
+turns these into a probability.
 
 Counts are gathered from every labelled training row (they grow with the labels) and
 kept in tables of a fixed number of hashed cells, so what is broadcast has a fixed size.
 
-Defined results: null and empty texts have no words and get the score of four zeros;
-with no usable labels of either class every score is the share of toxic labels (0.5
-without any); repeated document rows are scored each; of repeated labels the largest
-counts; null labels are ignored; an empty table gives an empty table.
+Defined results: null and empty texts have no words and get the score of all-zero
+measures; with no usable labels of either class every score is the share of toxic labels
+(0.5 without any); repeated document rows are scored each; of repeated labels the
+largest counts; null labels are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +39,8 @@ from pyspark.sql import types as T
 from .common import broadcast_if_small, drop_table, durable, map_text
 
 ORDER, WINDOW = 5, 8
+#: Evidence of a clear word, and the number of measures.
+CLEAR, MEASURES = 2.5, 10
 #: Hashed cells of each table: the bound on what is collected and broadcast.
 CELLS = 1 << 20
 #: Fixed discount of the Kneser-Ney counts.
@@ -43,8 +50,10 @@ CALIBRATION_ROWS = 20_000
 #: Flush sizes of a task's counters.
 _WORDS, _GRAMS = 200_000, 400_000
 _TRIM = ".,;:!?\"'()[]{}«»“”„…"
-_PAD, _STOP = "\x02", "\x03"
-_EVIDENCE: dict[str, dict[str, float]] = {}
+_PAD, _STOP, _WORD = "\x02", "\x03", "\x01"
+#: Evidence of letters beyond this says no more.
+_CLIP = 6.0
+_EVIDENCE: dict[str, dict[str, complex]] = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -52,11 +61,15 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _letters(word: str) -> str:
-    return _PAD * (ORDER - 1) + word.strip(_TRIM) + _STOP
+    return _PAD * (ORDER - 1) + word + _STOP
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """Letter n-grams of ``rows`` (text, side): gram and its counts c0 to c3 by ``side`` 0 to 3, summed in each task before the shuffle."""
+    """Words and letter n-grams of ``rows`` (text, side): gram and its counts c0 to c3 by ``side`` 0 to 3.
+
+    A document counts a word once.  Words are told from n-grams by a first letter that no
+    word has.  Counts are summed in each task before the shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = [Counter() for _ in range(4)]
@@ -66,8 +79,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             for side, counter in enumerate(words):
                 for word, n in counter.items():
                     s = _letters(word)
-                    for i in range(len(s) - ORDER + 1):
-                        g = s[i : i + ORDER]
+                    for g in (_WORD + word, *(s[i : i + ORDER] for i in range(len(s) - ORDER + 1))):
                         if g not in grams:
                             grams[g] = [0, 0, 0, 0]
                         grams[g][side] += n
@@ -81,7 +93,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, side in zip(batch.column(0), batch.column(1), strict=True):
-                words[side.as_py()].update(words_of(text.as_py()))
+                words[side.as_py()].update({w.strip(_TRIM) for w in words_of(text.as_py())})
                 if sum(map(len, words)) > _WORDS:
                     settle()
                     if len(grams) > _GRAMS:
@@ -106,6 +118,12 @@ def cells(points: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - 20)).astype(np.int64) & (CELLS - 1)
 
 
+def word_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashed cells of each word; the lesser of the two counts is the better."""
+    data = [w.encode("utf-8", "surrogatepass") for w in words]
+    return tuple(np.array([zlib.crc32(d, seed) & (CELLS - 1) for d in data], np.int64) for seed in (0, 0x5BD1E995))
+
+
 def _points(grams: list[str], n: int) -> np.ndarray:
     return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
 
@@ -113,15 +131,19 @@ def _points(grams: list[str], n: int) -> np.ndarray:
 class Model:
     """Dense tables of hashed cells; ``evidence`` scores words."""
 
-    def __init__(self, tables: dict[int, np.ndarray]):
-        #: by n: rows are gram counts (two for the highest order), then context sums and context types.
+    def __init__(self, tables: dict[int, np.ndarray], share: float):
+        #: The share of toxic documents.
+        self.share = share
+        #: 0: documents by word, toxic and ordinary, under two hashes.  Then by n: rows are gram counts (two for the highest order), then context sums and context types.
         self.tables = tables
 
     @classmethod
-    def fit(cls, grams: DataFrame) -> Model:
+    def fit(cls, grams: DataFrame, share: float) -> Model:
         """From (gram, toxic, ordinary): every order's counts, hashed and summed on the cluster."""
-        level = grams.where("toxic + ordinary > 0").select(F.lit(ORDER).alias("n"), "gram", "toxic", "ordinary")
-        every = level
+        grams = grams.where("toxic + ordinary > 0")
+        is_word = F.col("gram").startswith(_WORD)
+        every = grams.select(F.when(is_word, 0).otherwise(ORDER).alias("n"), "gram", "toxic", "ordinary")
+        level = every.where("n > 0")
         below = level
         for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct longer grams that end so
             below = below.groupBy(F.expr(f"right(gram, {n})").alias("gram")).agg(F.count(F.lit(1)).alias("toxic"))
@@ -133,10 +155,15 @@ class Model:
                 ns = batch.column(0).to_numpy()
                 for n in np.unique(ns):
                     at = np.flatnonzero(ns == n)
-                    points = _points([batch.column(1)[int(i)].as_py() for i in at], int(n))
+                    texts = [batch.column(1)[int(i)].as_py() for i in at]
                     a, b = (batch.column(k).to_numpy()[at] for k in (2, 3))
-                    for context, pts in ((0, points), (1, points[:, :-1])):
-                        where, back = np.unique(cells(pts), return_inverse=True)
+                    if n:
+                        points = _points(texts, int(n))
+                        hashed = cells(points), cells(points[:, :-1])
+                    else:
+                        hashed = word_cells([t[1:] for t in texts])
+                    for context, own in enumerate(hashed):
+                        where, back = np.unique(own, return_inverse=True)
                         add = lambda x, size=len(where), back=back: np.bincount(back, x, size).astype(np.int64)
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -161,10 +188,29 @@ class Model:
                 for k, c in enumerate(columns):
                     table[2 * context + k, cell[at]] = got[c].to_numpy()[at]
             tables[n] = table if n == ORDER else table[[0, 2, 4]]
-        return cls(tables)
-
-    def evidence(self, words: list[str]) -> np.ndarray:
-        """Log-likelihood of each word in the toxic model less that in the ordinary one."""
+        words = np.zeros((4, CELLS), np.float32)
+        for row in (0, 1):
+            at = kind == row
+            words[2 * row, cell[at]], words[2 * row + 1, cell[at]] = got["a"].to_numpy()[at], got["b"].to_numpy()[at]
+        tables[0] = words
+        return cls(tables, share)
+
+    def evidence(self, raw: list[str]) -> np.ndarray:
+        """Two rows: the evidence of each word, and that of its letters."""
+        words = [w.strip(_TRIM) for w in raw]
+        return np.stack([self.of_words(words), np.minimum(self.of_letters(words), _CLIP)])
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        table, (one, two) = self.tables[0], word_cells(words)
+        toxic = np.minimum(table[0, one], table[2, two]).astype(float)
+        ordinary = np.minimum(table[1, one], table[3, two]).astype(float)
+        spare = np.minimum(toxic, DISCOUNT) + np.minimum(ordinary, DISCOUNT)
+        share = self.share
+        p = (np.maximum(toxic - DISCOUNT, 0) + spare * share) / share
+        q = (np.maximum(ordinary - DISCOUNT, 0) + spare * (1 - share)) / (1 - share)
+        return np.where(toxic + ordinary > 0, np.log(np.maximum(p, 1e-9)) - np.log(np.maximum(q, 1e-9)), 0.0)
+
+    def of_letters(self, words: list[str]) -> np.ndarray:
         padded = [_letters(w) for w in words]
         sizes = np.array([len(s) - ORDER + 1 for s in padded])
         points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -190,14 +236,19 @@ def _step(count: np.ndarray, total: np.ndarray, types: np.ndarray, lower: np.nda
     return np.where(total > 0, np.clip(got, 1e-12, 1), lower)
 
 
-def measures(x: np.ndarray) -> list[float]:
-    """Length-normalised evidence of a document from its words' evidence."""
-    if not len(x):
-        return [0.0, 0.0, 0.0, 0.0]
-    run = np.concatenate([[0.0], np.cumsum(x)])
-    w = min(WINDOW, len(x))
-    top = np.sort(x)[-3:] if len(x) <= 3 else np.partition(x, len(x) - 3)[-3:]
-    return [float(x.mean()), float((run[w:] - run[:-w]).max() / w), float(x.max()), float(top.mean())]
+def measures(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """Length-normalised evidence of a document from its words' evidence ``x`` and their letters' ``y``."""
+    n = len(x)
+    if not n:
+        return [0.0] * MEASURES
+    out = []
+    for z in (x, y):
+        run = np.concatenate([[0.0], np.cumsum(z)])
+        w = min(WINDOW, n)
+        top = z if n <= 3 else np.partition(z, n - 3)[-3:]
+        out += [float(z.mean()), float((run[w:] - run[:-w]).max() / w), float(z.max()), float(top.sum() / 3)]
+    clear = int((x > CLEAR).sum())
+    return [*out, float(np.log1p(clear)), clear / n]
 
 
 def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
@@ -217,8 +268,10 @@ def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
                 known.clear()
             new = list({w for ws in lists for w in ws if w not in known})
             for lo in range(0, len(new), 20_000):
-                known.update(zip(new[lo : lo + 20_000], model.value.evidence(new[lo : lo + 20_000]).tolist(), strict=True))
-            return [[measures(np.fromiter(map(known.__getitem__, ws), float, len(ws))) for ws in lists]]
+                part = new[lo : lo + 20_000]
+                known.update(zip(part, map(complex, *model.value.evidence(part).tolist()), strict=True))
+            rows = [np.fromiter(map(known.__getitem__, ws), complex, len(ws)) for ws in lists]
+            return [[measures(z.real, z.imag) for z in rows]]
 
         return work
 
@@ -260,11 +313,13 @@ def score_toxicity(
     rows = docs.select("doc_id", "text").join(broadcast_if_small(marks, at), "doc_id")
     rows = rows.select("doc_id", "text", "toxic", fold.alias("fold"))
     grams, grams_at = durable(gram_counts(rows.withColumn("side", F.col("fold") * 2 + (F.col("toxic") == 0).cast("int"))))
-    totals = marks.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
-    share = (totals["t"] or 0) / totals["n"] if totals["n"] else 0.5
+    totals = {r["fold"]: (r["n"], r["t"] or 0) for r in marks.groupBy(fold.alias("fold")).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).collect()}
+    n, t = (sum(x) for x in zip(*totals.values(), strict=True)) if totals else (0, 0)
+    share = t / n if n else 0.5
+    least = lambda n, t: min(max(t / max(n, 1), 1e-3), 1 - 1e-3)
     weights, model = None, None
     if 0 < share < 1:
-        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary"))))
+        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary")), least(*totals.get(0, (0, 0)))))
         sample = rows.where("fold = 1").select("doc_id", "toxic", "text")
         ids = marks.where(fold == 1).orderBy(F.xxhash64("doc_id", F.lit(1))).limit(CALIBRATION_ROWS).select("doc_id")
         sample = sample.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -274,7 +329,7 @@ def score_toxicity(
         if len(y) and 0 < y.mean() < 1:
             weights = logistic_fit(np.array(got["m"].to_pylist()), y)
             model = spark.sparkContext.broadcast(
-                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")))
+                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")), least(n, t))
             )
     drop_table(spark, at, grams_at)
     if model is None:
