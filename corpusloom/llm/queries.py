@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, linededup, mixing, quality, toxicity
+from . import bpe, chat, linededup, minhash, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,3 +136,29 @@ SELECT doc_id, source, 0, 0, NULL FROM documents WHERE text IS NULL
 
 QUERIES |= {"op1_mixing": op1_mixing, "op4_linededup": op4_linededup}
 ORACLE_SQL |= {"op4_linededup": OP4_SQL}
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, words=4, percent=80)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i+3], ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS node, doc_id AS c FROM documents UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.node),
+m AS (SELECT node, min(c) AS c FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM documents d JOIN m ON d.doc_id = m.node LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
+QUERIES |= {"op2_minhash": op2_minhash}
+ORACLE_SQL |= {"op2_minhash": OP2_SQL.replace("\\\\", "\\")}
