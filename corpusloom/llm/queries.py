@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, linededup, minhash, mixing, quality, toxicity
+from . import bpe, chat, embed, linededup, minhash, mixing, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -162,3 +162,43 @@ FROM documents d JOIN m ON d.doc_id = m.node LEFT JOIN n ON d.doc_id = n.doc_id
 
 QUERIES |= {"op2_minhash": op2_minhash}
 ORACLE_SQL |= {"op2_minhash": OP2_SQL.replace("\\\\", "\\")}
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r AS (SELECT vec_id AS node, vec_id AS c FROM embeddings UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(c) AS c FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT node AS vec_id, coalesce(n.n, 0) AS n_links, c AS component_id, node = c AS kept
+FROM m LEFT JOIN n ON n.a = m.node
+"""
+
+QUERIES |= {"op5_topk": op5_topk, "op9_embed": op9_embed}
+ORACLE_SQL |= {"op5_topk": OP5_SQL, "op9_embed": OP9_SQL}
