@@ -3,18 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe
-from corpusloom.llm.common import durable
-from corpusloom.llm.queries import vocabulary_path
+from corpusloom.llm import bpe, linededup, minhash, mixing, toxicity
+from corpusloom.llm.common import broadcast_if_small, drop_table, durable
+from corpusloom.llm.queries import id_hash, vocabulary_path
+
+#: Documents at or above this score of toxicity are rejected.
+REJECT = 0.3
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models, fitted on the table's labels, don't reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.score_toxicity(docs, labels, id_hash(4) != 2, score_col="__toxicity")
+    return scored.where(F.col("__toxicity") < REJECT).select(*docs.columns)
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the boilerplate lines of their source; n_chars follows the text."""
+    out = linededup.dedup_lines(docs, counts=False)
+    return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group; a null doc_id belongs to none."""
+    groups, at = durable(minhash.near_duplicates(docs))
+    kept, kept_at = durable(groups.where("kept").select("doc_id").distinct())
+    out = docs.join(broadcast_if_small(kept, kept_at), "doc_id", "left_semi").select(*docs.columns)
+    if not groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    drop_table(spark, at)
+    return out.unionByName(docs.where("doc_id is null"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of a mixture of their sources."""
+    return mixing.mixed_order(mixing.mix(docs)).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE ids of every document that is left, and the check that they decode to its text."""
-    return bpe.encode_decode(docs, bpe.read_vocabulary(vocabulary_path()))
+    """BPE ids of every document that is left, and the digest of what they decode to."""
+    out = bpe.encode_decode(docs, bpe.read_vocabulary(vocabulary_path()), keep=["doc_id", "lang", "source"])
+    return out.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
-STAGES = [("bpe", tokenize)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_boilerplate),
+    ("minhash", drop_near_copies),
+    ("mixing", mix_sources),
+    ("bpe", tokenize),
+]
 
 #: The classifier and the hashing stages can't be put into SQL.
 ORACLE_SQL = None
@@ -22,9 +69,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from the whole table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs, _ = durable(docs)
+            docs, at = durable(docs)
+            if before:
+                drop_table(spark, before)
+            before = at
     return docs

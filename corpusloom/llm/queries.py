@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed, linededup, minhash, mixing, quality, topk, toxicity
+from . import bpe, chat, embed, linededup, minhash, mixing, quality, suffix, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -202,3 +202,11 @@ FROM m LEFT JOIN n ON n.a = m.node
 
 QUERIES |= {"op5_topk": op5_topk, "op9_embed": op9_embed}
 ORACLE_SQL |= {"op5_topk": OP5_SQL, "op9_embed": OP9_SQL}
+
+
+def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES |= {"op7_suffix": op7_suffix}
