@@ -9,9 +9,10 @@
    full shingle sets, recomputed from the texts where the pair's centre is.
 4. Connected components by alternating large-star and small-star.
 5. In buckets that still hold several components, every pair of different components is
-   checked by signature inside the bucket, in blocks; what passes is confirmed as before
-   and the components are taken again.  So no link between members of a bucket is lost,
-   and no pair inside a component is ever made.
+   checked inside the bucket, in blocks, by a finer signature (one minimum in each of
+   ``BINS`` bins, nearly the whole set for common lengths); what passes is confirmed as
+   before and the components are taken again.  So no link between members of a bucket is
+   lost, and no pair inside a component is ever made.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A to Z.  A document with fewer words
 than a shingle has its whole sequence as one shingle; one without words (or with a null
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, components, drop_table, durable, map_text, table_bytes
+from .common import BROADCAST_BYTES, broadcast_if_small, components, drop_table, durable, map_text, table_bytes
 
 #: The default of near-duplicate operators here: five words and a Jaccard similarity of 0.8.
 WORDS, PERCENT = 5, 80
@@ -39,6 +40,8 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS = 32, 5
 #: Signatures agreeing in less than this share reject a pair: 4.5 standard deviations below 0.8.
 AGREE = 0.66
+#: Bins of the finer signature, and the standard deviations below the threshold at which it rejects.
+BINS, DEVIATIONS = 1024, 4.5
 #: Members of a bucket that are compared with each other at a time.
 BLOCK = 2048
 
@@ -172,28 +175,63 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple
     return out, out_at
 
 
-def _across(rows: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components within a bucket whose signatures agree; ``rows``: key, doc_id, a, c, n, sig.
+def binned(x: np.ndarray) -> np.ndarray:
+    """One byte for each bin that the set reaches, from the least hash in it; 0 for empty bins."""
+    h = mixed(x ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    h.sort()
+    where = (h >> np.uint64(54)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(h) else np.empty(0, np.int64)
+    out = np.zeros(BINS, np.uint8)
+    out[where[first]] = (mixed(h[first]) % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def _fine(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, size of the set and its binned signature."""
+    fields = [T.StructField("size", T.LongType()), T.StructField("fine", T.BinaryType())]
+
+    def make():
+        hashes = _WordHashes()
+
+        def work(texts: list) -> list:
+            sets = [shingles(t, words, hashes) for t in texts]
+            return [[len(x) for x in sets], [binned(x).tobytes() for x in sets]]
+
+        return work
+
+    return map_text(docs, "text", fields, make, keep=["doc_id"])
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components within a bucket that may be similar; ``rows``: key, doc_id, a, c, n, size, fine.
 
     A bucket of n members is cut into blocks of about ``BLOCK``; block i meets block j in
     a group of its own, so no group holds more than two blocks.
     """
+    least = percent / 100
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
-    dealt = rows.select("key", "doc_id", "a", "c", "sig", own.alias("own"), F.explode(meets).alias("m"))
-    dealt = dealt.select("key", "m.i", "m.j", "own", "doc_id", "a", "c", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    dealt = rows.select("key", "doc_id", "a", "c", "size", "fine", own.alias("own"), F.explode(meets).alias("m"))
+    dealt = dealt.select("key", "m.i", "m.j", "own", "doc_id", "a", "c", "size", "fine").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def group(rows: list) -> tuple[list, list]:
-        own, doc, centre, c = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6))
-        sig = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
+        own, doc, centre, c, size = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6, 7))
+        fine = np.frombuffer(b"".join(r[8] for r in rows), np.uint8).reshape(len(rows), -1)
         i, j = rows[0][1], rows[0][2]
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b = [], []
         for x in left:
             y = right[(c[right] != c[x]) & (doc[right] > doc[x] if i == j else doc[right] != doc[x])]
             y = y[(centre[y] != doc[x]) & (doc[y] != centre[x])]  # pairs with the centre have been checked
-            y = y[(sig[y] == sig[x]).mean(1) >= least] if len(y) else y
+            y = y[np.minimum(size[y], size[x]) >= least * np.maximum(size[y], size[x])]
+            if not len(y):
+                continue
+            either = ((fine[y] > 0) | (fine[x] > 0)).sum(1)
+            agree = ((fine[y] == fine[x]) & (fine[x] > 0)).sum(1) / either
+            # Of a union of this size at the threshold, so many members were seen.
+            unseen = np.maximum(0, 1 - either * (1 + least) / (size[y] + size[x]))
+            y = y[agree >= least - 0.005 - DEVIATIONS * np.sqrt(least * (1 - least) / either * unseen)]
             a += np.minimum(doc[y], doc[x]).tolist()
             b += np.maximum(doc[y], doc[x]).tolist()
         return a, b
@@ -246,8 +284,11 @@ def near_duplicates(
 
     named = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
     mixed_keys = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    rest, rest_at = durable(named.join(mixed_keys, "key", "left_semi").join(sigs, "doc_id").select("key", "doc_id", "a", "c", "n", "sig"))
-    across, across_at = durable(_across(rest, agree))
+    rest, rest_at = durable(named.join(mixed_keys, "key", "left_semi").select("key", "doc_id", "a", "c", "n"))
+    ids, ids_at = durable(rest.select("doc_id").distinct())
+    fine, fine_at = durable(_fine(docs.join(broadcast_if_small(ids, ids_at), "doc_id", "left_semi"), words))
+    across, across_at = durable(_across(rest.join(fine, "doc_id"), percent))
+    drop_table(spark, ids_at, fine_at)
     drop_table(spark, rest_at, buckets_at)
     if not across.isEmpty():
         more, more_at = _confirmed(across, docs, words, percent)
