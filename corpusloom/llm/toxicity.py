@@ -25,6 +25,7 @@ largest counts; null labels are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 import zlib
 from collections import Counter
@@ -53,7 +54,7 @@ _TRIM = ".,;:!?\"'()[]{}«»“”„…"
 _PAD, _STOP, _WORD = "\x02", "\x03", "\x01"
 #: Evidence of letters beyond this says no more.
 _CLIP = 6.0
-_EVIDENCE: dict[str, dict[str, complex]] = {}
+_EVIDENCE: dict[str, tuple[Model, dict[str, complex]]] = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -137,6 +138,15 @@ class Model:
         #: 0: documents by word, toxic and ordinary, under two hashes.  Then by n: rows are gram counts (two for the highest order), then context sums and context types.
         self.tables = tables
 
+    def packed(self) -> bytes:
+        """The tables, mostly zeros and small counts, in little space."""
+        return zlib.compress(pickle.dumps(({n: t.astype(np.int32) for n, t in self.tables.items()}, self.share), 5), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Model:
+        tables, share = pickle.loads(zlib.decompress(data))
+        return cls({n: t.astype(np.float32) for n, t in tables.items()}, share)
+
     @classmethod
     def fit(cls, grams: DataFrame, share: float) -> Model:
         """From (gram, toxic, ordinary): every order's counts, hashed and summed on the cluster."""
@@ -258,9 +268,10 @@ def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
 
     def make():
         # The worker's memory of this model's words outlives a task.
-        known = _EVIDENCE.setdefault(name, {})
-        for other in [k for k in _EVIDENCE if k != name]:
-            del _EVIDENCE[other]
+        if name not in _EVIDENCE:
+            _EVIDENCE.clear()
+            _EVIDENCE[name] = Model.unpacked(model.value), {}
+        own, known = _EVIDENCE[name]
 
         def work(texts: list) -> list:
             lists = [words_of(t) for t in texts]
@@ -269,7 +280,7 @@ def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
             new = list({w for ws in lists for w in ws if w not in known})
             for lo in range(0, len(new), 20_000):
                 part = new[lo : lo + 20_000]
-                known.update(zip(part, map(complex, *model.value.evidence(part).tolist()), strict=True))
+                known.update(zip(part, map(complex, *own.evidence(part).tolist()), strict=True))
             rows = [np.fromiter(map(known.__getitem__, ws), complex, len(ws)) for ws in lists]
             return [[measures(z.real, z.imag) for z in rows]]
 
@@ -319,17 +330,17 @@ def score_toxicity(
     least = lambda n, t: min(max(t / max(n, 1), 1e-3), 1 - 1e-3)
     weights, model = None, None
     if 0 < share < 1:
-        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary")), least(*totals.get(0, (0, 0)))))
+        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary")), least(*totals.get(0, (0, 0)))).packed())
         sample = rows.where("fold = 1").select("doc_id", "toxic", "text")
         ids = marks.where(fold == 1).orderBy(F.xxhash64("doc_id", F.lit(1))).limit(CALIBRATION_ROWS).select("doc_id")
         sample = sample.join(F.broadcast(ids), "doc_id", "left_semi")
         got = _measured(sample, first, ["toxic"]).toArrow()
-        first.unpersist()
+        first.destroy()
         y = got["toxic"].to_numpy().astype(float)
         if len(y) and 0 < y.mean() < 1:
             weights = logistic_fit(np.array(got["m"].to_pylist()), y)
             model = spark.sparkContext.broadcast(
-                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")), least(n, t))
+                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")), least(n, t)).packed()
             )
     drop_table(spark, at, grams_at)
     if model is None:
