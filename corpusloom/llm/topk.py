@@ -32,56 +32,69 @@ from pyspark.sql import functions as F
 BLOCK, QUERIES = 8192, 4096
 #: Vectors left over whose scores are resolved outright.
 FEW = 64
-#: How far down the lists are read before bounds are taken.
-STEPS = (0.5, 0.75, 0.875, 0.9375, 0.96875, 1.0)
+#: How far down the lists are read before bounds are taken; then to their ends.
+STEPS = (0.8, 0.92)
 
 
 class Lists:
-    """The sorted lists of a block of candidates."""
+    """The sorted lists of a block of candidates, kept as each vector's place in every list."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[by_id], x[by_id]
-        self.order = np.argsort(self.x, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(self.x, self.order, 0).astype(np.float64)
+        size = len(ids)
+        order = np.argsort(self.x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.x, order, 0).T.astype(np.float64)
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(size)[:, None], 0)
+        self.place = np.ascontiguousarray(place.T.astype(np.int16 if size < 1 << 15 else np.int32))
+        self.most = float(np.abs(self.x).max(initial=0))
+        # Single precision where it is exact for every sum of products.
+        self.columns = np.ascontiguousarray(self.x.T.astype(np.float64))
+        self.narrow = self.columns.astype(np.float32)
 
     def best(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (vec_id, score) for a query, without its own row; ties to the smaller id."""
         size = len(self.ids)
-        used = np.flatnonzero(q)
+        down, up = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         own = np.searchsorted(self.ids, query_id)
         own = own if own < size and self.ids[own] == query_id else -1
-        left = np.arange(size)
-        if len(used) and size - (own >= 0) > max(k, FEW):
-            weight = q[used].astype(np.float64)
-            # Read positions run from 0 at the good end of each list.
-            down = weight > 0
-            last = np.where(down, self.sorted[0, used], self.sorted[-1, used]) * weight
-            low, high, seen, at = np.zeros(size), None, np.zeros((size, len(used)), np.float32), 0
-            for step in STEPS:
-                to = max(at + 1, int(size * step))
-                for take, rows in ((used[down], slice(size - to, size - at)), (used[~down], slice(at, to))):
-                    if len(take):
-                        places, values = self.order[rows, take], self.sorted[rows, take] * q[take]
-                        low += np.bincount(places.ravel(), values.ravel(), size)
-                        seen[places, np.searchsorted(used, take)] = 1
-                at = to
-                front = np.where(down, self.sorted[size - to, used], self.sorted[to - 1, used]) * weight
-                bound = seen @ np.column_stack([front, last])
-                high = low + front.sum() - bound[:, 0]
-                under = low + last.sum() - bound[:, 1]
-                if own >= 0:
-                    under[own] = high[own] = -np.inf
-                kth = np.partition(under, size - k)[size - k]
-                # Rounding of the bounds is far below one unit.
-                left = np.flatnonzero(high >= kth - 0.5)
-                if len(left) <= FEW or to >= size:
-                    break
+        left = None
+        if size - (own >= 0) > max(k, FEW) and len(down) + len(up):
+            left = self._unsettled(q, down, up, own, k)
+        left = np.arange(size) if left is None else left
         left = left[left != own]
         score = self.x[left] @ q
+        if len(left) > 4 * FEW:
+            some = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+            left, score = left[some], score[some]
         best = np.lexsort((self.ids[left], -score))[:k]
         return [(int(self.ids[left[b]]), int(score[b])) for b in best]
 
+    def _unsettled(self, q: np.ndarray, down: np.ndarray, up: np.ndarray, own: int, k: int) -> np.ndarray | None:
+        """The vectors that may be among the k best after reading some way down; None if the lists must be read to their ends."""
+        size, used = len(self.ids), np.concatenate([down, up])
+        exact = self.most * float(np.abs(q).max()) * len(used) < 1 << 24
+        columns, kind = (self.narrow, np.float32) if exact else (self.columns, np.float64)
+        weight = q[used].astype(np.float64)
+        last = weight * np.where(weight > 0, self.sorted[used, 0], self.sorted[used, -1])
+        for step in STEPS:
+            to = max(1, int(size * step))
+            seen = np.concatenate([self.place[down] >= size - to, self.place[up] < to])
+            front = weight * np.where(weight > 0, self.sorted[used, size - to], self.sorted[used, to - 1])
+            low = weight.astype(kind) @ (columns[used] * seen)
+            bound = np.stack([front, last]).astype(np.float32) @ seen.astype(np.float32)
+            # A unit of slack each way covers the rounding of the bounds.
+            slack = 1 + 1e-5 * float(np.abs(last).sum() + np.abs(front).sum())
+            high = low + front.sum() - bound[0] + slack
+            under = low + last.sum() - bound[1] - slack
+            if own >= 0:
+                under[own] = high[own] = -np.inf
+            left = np.flatnonzero(high >= np.partition(under, size - k)[size - k])
+            if len(left) <= FEW:
+                return left
+        return None
+
 
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding"
