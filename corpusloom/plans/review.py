@@ -185,13 +185,11 @@ def mojibake_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '^\s+|\s+$', '', 'g')) AS text
-FROM pages WHERE NOT regexp_matches(regexp_replace(html, '&(lt|gt|quot|#39|amp);', '', 'g'), '&[#a-zA-Z]') AND NOT contains(html, '&amp;')"""
+    r"""SELECT page_id, regexp_replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'),
+  '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '^\s+|\s+$', '', 'g') AS text FROM pages"""
 )
 def html_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages whose entities the oracle can resolve too; the operator itself takes any."""
-    other = F.regexp_replace("html", "&(lt|gt|quot|#39|amp);", "").rlike("&[#a-zA-Z]") | F.contains("html", F.lit("&amp;"))
-    return table(spark, sf, "pages").where(~other).select("page_id", clean.html_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages").select("page_id", clean.html_text(F.col("html")).alias("text"))
 
 
 @query()
