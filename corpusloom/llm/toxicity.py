@@ -48,6 +48,8 @@ CELLS = 1 << 20
 DISCOUNT = 0.75
 #: Labelled rows, at most, that the logistic curve is fitted on.
 CALIBRATION_ROWS = 20_000
+#: Words whose evidence a worker remembers.
+REMEMBERED = 400_000
 #: Flush sizes of a task's counters.
 _WORDS, _GRAMS = 200_000, 400_000
 _TRIM = ".,;:!?\"'()[]{}«»“”„…"
@@ -138,18 +140,22 @@ class Model:
         #: 0: documents by word, toxic and ordinary, under two hashes.  Then by n: rows are gram counts (two for the highest order), then context sums and context types.
         self.tables = tables
 
-    def packed(self) -> bytes:
-        """The tables, mostly zeros and small counts, in little space."""
-        return zlib.compress(pickle.dumps(({n: t.astype(np.int32) for n, t in self.tables.items()}, self.share), 5), 1)
-
     @classmethod
     def unpacked(cls, data: bytes) -> Model:
-        tables, share = pickle.loads(zlib.decompress(data))
-        return cls({n: t.astype(np.float32) for n, t in tables.items()}, share)
+        """A model from what ``fit`` returns."""
+        parts, share = pickle.loads(data)
+        tables = {}
+        for n, (rows, packed) in parts.items():
+            tables[n] = np.frombuffer(zlib.decompress(packed), np.int32).reshape(rows, CELLS).astype(np.float32)
+        return cls(tables, share)
 
-    @classmethod
-    def fit(cls, grams: DataFrame, share: float) -> Model:
-        """From (gram, toxic, ordinary): every order's counts, hashed and summed on the cluster."""
+    @staticmethod
+    def fit(grams: DataFrame, share: float) -> bytes:
+        """A packed model from (gram, toxic, ordinary): every order's counts, hashed and summed on the cluster.
+
+        The driver holds one order's table at a time; most of a table is zeros and small
+        counts, so the packed ones are short.
+        """
         grams = grams.where("toxic + ordinary > 0")
         is_word = F.col("gram").startswith(_WORD)
         every = grams.select(F.when(is_word, 0).otherwise(ORDER).alias("n"), "gram", "toxic", "ordinary")
@@ -188,22 +194,28 @@ class Model:
                         )
 
         hashed = every.mapInArrow(run, "kind int, cell bigint, a bigint, b bigint, ta bigint, tb bigint")
-        got = hashed.groupBy("kind", "cell").agg(*(F.sum(c).alias(c) for c in ("a", "b", "ta", "tb"))).toArrow()
-        kind, cell = got["kind"].to_numpy(), got["cell"].to_numpy()
-        tables = {}
-        for n in range(1, ORDER + 1):
-            table = np.zeros((6, CELLS), np.float32)
-            for context, columns in ((0, ("a", "b")), (1, ("a", "b", "ta", "tb"))):
-                at = kind == 2 * n + context
+        summed = hashed.groupBy("kind", F.col("cell").cast("int").alias("cell")).agg(
+            *(F.least(F.sum(c), F.lit(2**31 - 1)).cast("int").alias(c) for c in ("a", "b", "ta", "tb"))
+        )
+        summed, at = durable(summed)
+        parts = {}
+        for n in range(ORDER + 1):
+            # Rows of counts, context sums and context types; lower orders don't tell the classes apart.
+            # Words have two rows of counts under each of two hashes.
+            places = {0: ("a", "b"), 1: ("a", "b") if n == 0 else ("a", "b", "ta", "tb")}
+            if 0 < n < ORDER:
+                places = {0: ("a",), 1: ("a", "ta")}
+            got = summed.where(F.col("kind").isin(2 * n, 2 * n + 1)).toArrow()
+            kind, cell = got["kind"].to_numpy(), got["cell"].to_numpy()
+            table = np.zeros((sum(map(len, places.values())), CELLS), np.int32)
+            for context, columns in places.items():
+                own = kind == 2 * n + context
                 for k, c in enumerate(columns):
-                    table[2 * context + k, cell[at]] = got[c].to_numpy()[at]
-            tables[n] = table if n == ORDER else table[[0, 2, 4]]
-        words = np.zeros((4, CELLS), np.float32)
-        for row in (0, 1):
-            at = kind == row
-            words[2 * row, cell[at]], words[2 * row + 1, cell[at]] = got["a"].to_numpy()[at], got["b"].to_numpy()[at]
-        tables[0] = words
-        return cls(tables, share)
+                    table[context * len(places[0]) + k, cell[own]] = got[c].to_numpy()[own]
+            del got, kind, cell
+            parts[n] = len(table), zlib.compress(table, 1)
+        drop_table(grams.sparkSession, at)
+        return pickle.dumps((parts, share), 5)
 
     def evidence(self, raw: list[str]) -> np.ndarray:
         """Two rows: the evidence of each word, and that of its letters."""
@@ -275,11 +287,11 @@ def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
 
         def work(texts: list) -> list:
             lists = [words_of(t) for t in texts]
-            if len(known) > 1_000_000:
+            if len(known) > REMEMBERED:
                 known.clear()
             new = list({w for ws in lists for w in ws if w not in known})
-            for lo in range(0, len(new), 20_000):
-                part = new[lo : lo + 20_000]
+            for lo in range(0, len(new), 10_000):
+                part = new[lo : lo + 10_000]
                 known.update(zip(part, map(complex, *own.evidence(part).tolist()), strict=True))
             rows = [np.fromiter(map(known.__getitem__, ws), complex, len(ws)) for ws in lists]
             return [[measures(z.real, z.imag) for z in rows]]
@@ -330,7 +342,7 @@ def score_toxicity(
     least = lambda n, t: min(max(t / max(n, 1), 1e-3), 1 - 1e-3)
     weights, model = None, None
     if 0 < share < 1:
-        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary")), least(*totals.get(0, (0, 0)))).packed())
+        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary")), least(*totals.get(0, (0, 0)))))
         sample = rows.where("fold = 1").select("doc_id", "toxic", "text")
         ids = marks.where(fold == 1).orderBy(F.xxhash64("doc_id", F.lit(1))).limit(CALIBRATION_ROWS).select("doc_id")
         sample = sample.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -340,7 +352,7 @@ def score_toxicity(
         if len(y) and 0 < y.mean() < 1:
             weights = logistic_fit(np.array(got["m"].to_pylist()), y)
             model = spark.sparkContext.broadcast(
-                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")), least(n, t)).packed()
+                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")), least(n, t))
             )
     drop_table(spark, at, grams_at)
     if model is None:
