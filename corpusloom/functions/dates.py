@@ -28,5 +28,5 @@ def odd_year(year: Column) -> Column:
 
 def display_date(year: Column, month: Column, day: Column) -> Column:
     """The parts that are there, each with its sign."""
-    part = lambda c, sign: F.when(F.coalesce(c, F.lit(0)) != 0, F.concat(c.cast("string"), F.lit(sign))).otherwise("")
+    part = lambda c, sign: F.when(c.isNotNull(), F.concat(c.cast("string"), F.lit(sign))).otherwise("")
     return F.concat(part(year, "年"), part(month, "月"), part(day, "日"))

@@ -1,7 +1,7 @@
 """All registered queries of the package's own operators, by name."""
 
-from . import catalog, review
+from . import catalog, matching, review
 
-_PARTS = (catalog, review)
+_PARTS = (catalog, review, matching)
 QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 SQL = {name: sql for part in _PARTS for name, sql in part.SQL.items()}
