@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Most bytes of one batch that goes to a Python worker, so that two workers and their models fit beside an executor's heap.
+BATCH_BYTES = 8 << 20
 #: A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 16 << 20
 
@@ -25,6 +27,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session's Python workers; a smaller bound set before stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -41,6 +51,7 @@ def drop_table(spark: SparkSession, *paths: str) -> None:
 def durable(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_folder(spark)}/corpusloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
@@ -79,7 +90,9 @@ def map_text(
     """
     kept = [c for c in (keep if keep is not None else df.columns) if c not in {f.name for f in fields}]
     own = with_fields(T.StructType([df.schema[c] for c in kept]), fields)
-    source = df.select(F.struct(*kept).alias("row") if kept else F.lit(None).alias("row"), F.col(text_col).alias("text"))
+    small_batches(df.sparkSession)
+    row = F.struct(*kept) if kept else F.lit(None)
+    source = df.select(row.alias("row"), *([] if text_col in kept else [F.col(text_col).alias("text")]))
     n_fields = len(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,8 +101,9 @@ def map_text(
         arrow = to_arrow_schema(own)
         work = make()
         for batch in batches:
-            for lo, hi in text_slices(batch.column(1), slice_bytes):
-                rows, texts = batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
+            column = batch.column(0).field(text_col) if text_col in kept else batch.column(1)
+            for lo, hi in text_slices(column, slice_bytes):
+                rows, texts = batch.column(0).slice(lo, hi - lo), column.slice(lo, hi - lo)
                 values = work(texts.to_pylist())
                 left = rows.flatten() if kept else []
                 right = [pa.array(values[i], type=arrow.field(len(kept) + i).type) for i in range(n_fields)]

@@ -42,16 +42,16 @@ from .common import broadcast_if_small, drop_table, durable, map_text
 ORDER, WINDOW = 5, 8
 #: Evidence of a clear word, and the number of measures.
 CLEAR, MEASURES = 2.5, 10
-#: Hashed cells of each table: the bound on what is collected and broadcast.
-CELLS = 1 << 20
+#: Hashed cells of each order's table (0: words): the bound on what is collected and broadcast.
+CELLS = {0: 1 << 20, 1: 1 << 12, 2: 1 << 16, 3: 1 << 18, 4: 1 << 19, 5: 1 << 20}
 #: Fixed discount of the Kneser-Ney counts.
 DISCOUNT = 0.75
 #: Labelled rows, at most, that the logistic curve is fitted on.
 CALIBRATION_ROWS = 20_000
 #: Words whose evidence a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Flush sizes of a task's counters.
-_WORDS, _GRAMS = 200_000, 400_000
+_WORDS, _GRAMS = 100_000, 250_000
 _TRIM = ".,;:!?\"'()[]{}«»“”„…"
 _PAD, _STOP, _WORD = "\x02", "\x03", "\x01"
 #: Evidence of letters beyond this says no more.
@@ -110,21 +110,21 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return part.groupBy("gram").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(4)))
 
 
-def cells(points: np.ndarray) -> np.ndarray:
-    """The hashed cell of each row of code points."""
+def cells(points: np.ndarray, order: int) -> np.ndarray:
+    """The hashed cell of each row of code points in the table of an order."""
     h = np.full(len(points), points.shape[1], np.uint64)
     with np.errstate(over="ignore"):
         for k in range(points.shape[1]):
             h = h * np.uint64(0x9E3779B97F4A7C15) + points[:, k].astype(np.uint64) + np.uint64(1)
             h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - 20)).astype(np.int64) & (CELLS - 1)
+    return (h >> np.uint64(64 - 20)).astype(np.int64) & (CELLS[order] - 1)
 
 
 def word_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Two hashed cells of each word; the lesser of the two counts is the better."""
     data = [w.encode("utf-8", "surrogatepass") for w in words]
-    return tuple(np.array([zlib.crc32(d, seed) & (CELLS - 1) for d in data], np.int64) for seed in (0, 0x5BD1E995))
+    return tuple(np.array([zlib.crc32(d, seed) & (CELLS[0] - 1) for d in data], np.int64) for seed in (0, 0x5BD1E995))
 
 
 def _points(grams: list[str], n: int) -> np.ndarray:
@@ -146,7 +146,7 @@ class Model:
         parts, share = pickle.loads(data)
         tables = {}
         for n, (rows, packed) in parts.items():
-            tables[n] = np.frombuffer(zlib.decompress(packed), np.int32).reshape(rows, CELLS).astype(np.float32)
+            tables[n] = np.frombuffer(zlib.decompress(packed), np.int32).reshape(rows, CELLS[n]).astype(np.float32)
         return cls(tables, share)
 
     @staticmethod
@@ -175,7 +175,7 @@ class Model:
                     a, b = (batch.column(k).to_numpy()[at] for k in (2, 3))
                     if n:
                         points = _points(texts, int(n))
-                        hashed = cells(points), cells(points[:, :-1])
+                        hashed = cells(points, int(n)), cells(points[:, :-1], int(n))
                     else:
                         hashed = word_cells([t[1:] for t in texts])
                     for context, own in enumerate(hashed):
@@ -207,7 +207,7 @@ class Model:
                 places = {0: ("a",), 1: ("a", "ta")}
             got = summed.where(F.col("kind").isin(2 * n, 2 * n + 1)).toArrow()
             kind, cell = got["kind"].to_numpy(), got["cell"].to_numpy()
-            table = np.zeros((sum(map(len, places.values())), CELLS), np.int32)
+            table = np.zeros((sum(map(len, places.values())), CELLS[n]), np.int32)
             for context, columns in places.items():
                 own = kind == 2 * n + context
                 for k, c in enumerate(columns):
@@ -242,10 +242,10 @@ class Model:
         p = np.full(len(rows), 1e-4)
         for n in range(1, ORDER):
             table = self.tables[n]
-            gram, context = cells(rows[:, -n:]), cells(rows[:, -n:-1])
+            gram, context = cells(rows[:, -n:], n), cells(rows[:, -n:-1], n)
             p = _step(table[0, gram], table[1, context], table[2, context], p)
         table = self.tables[ORDER]
-        gram, context = cells(rows), cells(rows[:, :-1])
+        gram, context = cells(rows, ORDER), cells(rows[:, :-1], ORDER)
         toxic, ordinary = (_step(table[k, gram], table[2 + k, context], table[4 + k, context], p) for k in (0, 1))
         return np.add.reduceat(np.log(toxic) - np.log(ordinary), np.cumsum(sizes) - sizes)
 
