@@ -34,7 +34,7 @@ from .common import broadcast_if_small, durable
 BLOCK_ROWS = 64
 MAX_PERIOD = 1000
 #: Rows of a source numbered together, on average; and the most sources a mixture may have.
-BUCKET_ROWS, MAX_SOURCES = 4096, 10_000
+BUCKET_ROWS, MAX_SOURCES = 4096, 1000
 
 PHASES = T.ArrayType(
     T.StructType(
@@ -135,7 +135,7 @@ def mix(
     )
     same = source.eqNullSafe(F.col("__s"))
     taken = [c for c in docs.columns if c not in ("block", "slot", "in_block")]
-    # The schedule's size is bounded by MAX_SOURCES and MAX_PERIOD, whatever the rows.
+    # The schedule has at most MAX_SOURCES phases of MAX_PERIOD + MAX_SOURCES slots, whatever the rows.
     dealt = (
         docs.select(*taken)
         .join(F.broadcast(by_source.select("__s", "__buckets")), same)
