@@ -30,3 +30,8 @@ def display_date(year: Column, month: Column, day: Column) -> Column:
     """The parts that are there, each with its sign."""
     part = lambda c, sign: F.when(c.isNotNull(), F.concat(c.cast("string"), F.lit(sign))).otherwise("")
     return F.concat(part(year, "年"), part(month, "月"), part(day, "日"))
+
+
+def local_date(when: Column, offset: str = "+08:00") -> Column:
+    """The date of a UTC time at a fixed offset, as text."""
+    return F.date_format(F.from_utc_timestamp(when, offset), "yyyy-MM-dd")

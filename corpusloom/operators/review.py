@@ -11,6 +11,8 @@ from ..functions.text import filled
 #: Branches that corrections may target; the grammar of commands and markers.
 BASES = ("main", "config", "ocr_config", "ocr_patch", "origin")
 COMMAND = r"(?i)\A\s*/ocr-(keep|drop)\s+(all|\d+(?:[\s,]+\d+)*)\s*\z"
+APPROVE, REJECT = r"(?i)\A\s*/proofread-approve\s*\z", r"(?i)\A\s*/proofread-reject\b.*\z"
+REVERT_COMMAND = r"(?i)\A\s*/proofread-revert\s*\z"
 REVERT = r"\Arevert-([0-9]+)-"
 
 
@@ -177,3 +179,38 @@ def unmanaged(mirror: DataFrame, upstream: DataFrame, managed: DataFrame, on: li
 def only_in(mirror: DataFrame, upstream: DataFrame, on: list[str]) -> DataFrame:
     """Branches of the mirror alone."""
     return mirror.select(*on).subtract(upstream.select(*on))
+
+
+def verdict(body: Column) -> Column:
+    """approve, reject or revert, by the command a comment is; null for others."""
+    kinds = ((APPROVE, "approve"), (REJECT, "reject"), (REVERT_COMMAND, "revert"))
+    return F.coalesce(*(F.when(body.rlike("(?s)" + pattern), name) for pattern, name in kinds))
+
+
+def closed_temporaries(branches: DataFrame, pulls: DataFrame, on: list[str], pattern: str) -> DataFrame:
+    """Temporary branches that have pulls, all of them closed."""
+    own = branches.where(F.col("branch").rlike(pattern))
+    state = pulls.groupBy(*on).agg(F.bool_and(F.col("state") == "closed").alias("__closed"))
+    return own.join(state, on).where("__closed").drop("__closed")
+
+
+def issues_to_close(issues: DataFrame, selected: list[int] | None, marker: str = "conflict") -> DataFrame:
+    """Open issues whose marker names one of the selected archives; None selects all."""
+    own = F.from_json(F.regexp_extract("body", rf"(?s)<!--\s*{marker}:(.*?)\s*-->", 1), "struct<archive_id:int>")["archive_id"]
+    found = issues.where("state = 'open'").withColumn("archive_id", own).where("archive_id is not null")
+    return found if selected is None else found.where(F.col("archive_id").isin(*selected))
+
+
+def without_archive(path: Column) -> Column:
+    """A path without its archive folder."""
+    return F.regexp_replace(path, r"\Aarchives\d+/", "")
+
+
+def input_snapshot(revisions: DataFrame, helper: str, layout: str = "2") -> DataFrame:
+    """What a build depends on: the four input branches, the helper's revision and the patch layout."""
+    return revisions.select("archive_id", "main", "config", "ocr_cache", "ocr_patch", F.lit(helper).alias("helper"), F.lit(layout).alias("patch_layout"))
+
+
+def size_error(size: Column, most: int) -> Column:
+    """Why a file's size can't be, or null."""
+    return F.when(size.isNull() | (size <= 0), "empty").when(size > most, "too large")

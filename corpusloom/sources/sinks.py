@@ -77,6 +77,42 @@ def write_first_pages(spark: SparkSession, folder: str, records: DataFrame, orde
     return urls
 
 
+def nested_tree(tree: DataFrame) -> list[dict]:
+    """The folder tree as nested nodes under short keys (n name, c count, df direct files, ch children), by name."""
+    nodes: dict[tuple, dict] = {}
+    roots: list[dict] = []
+    for r in tree.orderBy("depth", "repo", "name").toLocalIterator():  # parents come before their children
+        node = {"n": r["name"], "c": r["n_files"], "df": int(r["has_direct"]), "ch": []}
+        nodes[r["repo"], r["depth"], r["path"]] = node
+        above = roots if r["depth"] == 0 else nodes[r["repo"], r["depth"] - 1, r["parent_path"]]["ch"]
+        above.append(node)
+    return roots
+
+
+def write_sidebars(spark: SparkSession, folder: str, records: DataFrame) -> dict[str, int]:
+    """The root entry of every repo (its folders with counts and its own files), and a file of all repos' counts."""
+    from ..operators.catalog import browser_files, browser_folders, sidebar_counts
+
+    root = F.col("path") == ""
+    counts = sidebar_counts(records)
+    entries = counts.join(browser_folders(records).where(root).drop("path"), "repo", "left").join(browser_files(records).where(root).drop("path"), "repo", "left")
+    totals: dict[str, int] = {}
+    for r in entries.orderBy("repo").toLocalIterator():
+        folders = [{"n": x["name"], "c": x["n_files"]} for x in r["folders"] or []]
+        files = [{"n": x["file"], "e": x["extension"], "t": int(x["has_txt"]), "s": x["size"]} for x in r["files"] or []]
+        write_bytes(spark, f"{folder}/{page_name(r['repo'])}", compact_json({"folders": folders, "files": files}))
+        totals[r["repo"]] = r["n"]
+    write_bytes(spark, f"{folder}/counts.json", compact_json(totals))
+    return totals
+
+
+def next_snapshot(df: DataFrame, folder: str, version: int) -> str:
+    """Write a candidate snapshot beside the present one; whoever accepts it moves the pointer."""
+    path = f"{folder}/v{version + 1}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def write_pages(records: DataFrame, folder: str) -> None:
     """All records by repo, as JSON lines written by the executors."""
     records.write.mode("overwrite").partitionBy("repo").json(folder)
