@@ -19,7 +19,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import map_text
+from .common import held, map_text
 
 #: Fixed value: the split of byte-level BPE before merging, as the public vocabulary's pre-tokeniser defines it.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -27,7 +27,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _SPACE = r"\p{White_Space}"
 _NEVER = 1 << 62
 #: Pieces remembered by one task, and the longest of them in characters.
-MEMORY, LONGEST = 500_000, 64
+MEMORY, LONGEST = 300_000, 64
 #: Children of a node of the segment tree; a minimum over a short list is one fast call.
 FAN = 32
 
@@ -167,16 +167,9 @@ class _Known(dict):
         return ids
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec_of(vocabulary: str) -> Codec:
     """The codec of a vocabulary; a worker keeps the last one, and the pieces it has met, from task to task."""
-    name = hashlib.sha256(vocabulary.encode()).hexdigest()
-    if name not in _CODECS:
-        _CODECS.clear()
-        _CODECS[name] = Codec(vocabulary)
-    return _CODECS[name]
+    return held("bpe" + hashlib.sha256(vocabulary.encode()).hexdigest(), lambda: Codec(vocabulary))
 
 
 def read_vocabulary(path: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -35,6 +36,39 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, build: Callable[[], object]):
+    """What a worker keeps from task to task under ``name``; only the last name is kept."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = build()
+    return _HELD[name]
+
+
+def _release() -> None:
+    """Give memory that is free again back to the system, for the stages that follow."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not on this platform
+        pass
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with bounded batches, in workers that don't hold on to freed memory."""
+    small_batches(df.sparkSession)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -51,7 +85,6 @@ def drop_table(spark: SparkSession, *paths: str) -> None:
 def durable(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    small_batches(spark)
     path = f"{shared_folder(spark)}/corpusloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
@@ -80,7 +113,7 @@ def map_text(
     fields: list[T.StructField],
     make: Callable[[], Callable[[list], list]],
     keep: list[str] | None = None,
-    slice_bytes: int = 4 << 20,
+    slice_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Add ``fields`` computed from the texts of ``text_col`` by an Arrow map.
 
@@ -90,7 +123,6 @@ def map_text(
     """
     kept = [c for c in (keep if keep is not None else df.columns) if c not in {f.name for f in fields}]
     own = with_fields(T.StructType([df.schema[c] for c in kept]), fields)
-    small_batches(df.sparkSession)
     row = F.struct(*kept) if kept else F.lit(None)
     source = df.select(row.alias("row"), *([] if text_col in kept else [F.col(text_col).alias("text")]))
     n_fields = len(fields)
@@ -109,7 +141,7 @@ def map_text(
                 right = [pa.array(values[i], type=arrow.field(len(kept) + i).type) for i in range(n_fields)]
                 yield pa.RecordBatch.from_arrays([*left, *right], schema=arrow)
 
-    return source.mapInArrow(run, own)
+    return arrow_map(source, run, own)
 
 
 def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, components, drop_table, durable, table_bytes
+from .common import BROADCAST_BYTES, arrow_map, components, drop_table, durable, table_bytes
 
 THRESHOLD = 0.9
 RECALL, COLLISIONS, HALF, CELL_ROWS = 0.995, 2, 2.0, 50
@@ -92,9 +92,7 @@ def _orders(rows: DataFrame, k: int, orders: int, light: bool) -> DataFrame:
                         columns.append(pa.array(data * orders, pa.binary()))
                     yield pa.RecordBatch.from_arrays(columns, names=["key"] if light else ["key", "rep", "n", "value", "data"])
 
-    return rows.select("rep", "n", "v").mapInArrow(
-        run, "key bigint" if light else "key bigint, rep bigint, n bigint, value double, data binary"
-    )
+    return arrow_map(rows.select("rep", "n", "v"), run, "key bigint" if light else "key bigint, rep bigint, n bigint, value double, data binary")
 
 
 def _linked(rows: list, k: int, orders: int, half: float, threshold: float) -> tuple[list, list, list]:
@@ -176,7 +174,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
         settle()
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["rep", "links", "root"])
 
-    links, links_at = durable(dealt.mapInArrow(run, "rep bigint, links bigint, root bigint"))
+    links, links_at = durable(arrow_map(dealt, run, "rep bigint, links bigint, root bigint"))
     found = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct())
     per = links.groupBy("rep").agg(F.sum("links").alias("links"))
     whole, _ = durable(

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, broadcast_if_small, components, drop_table, durable, map_text, table_bytes
+from .common import BROADCAST_BYTES, arrow_map, broadcast_if_small, components, drop_table, durable, map_text, table_bytes
 
 #: The default of near-duplicate operators here: five words and a Jaccard similarity of 0.8.
 WORDS, PERCENT = 5, 80
@@ -45,7 +45,7 @@ BINS, DEVIATIONS = 1024, 4.5
 #: Members of a bucket that are compared with each other at a time.
 BLOCK = 2048
 
-_MEMORY = 500_000
+_MEMORY = 300_000
 
 
 class _WordHashes(dict):
@@ -134,7 +134,7 @@ def _agreeing(pairs: DataFrame, least: float) -> DataFrame:
             one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
             yield batch.filter(pa.array((one == two).mean(1) >= least)).select(["a", "b"])
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint")
+    return arrow_map(pairs.select("a", "b", "sig_a", "sig_b"), run, "a bigint, b bigint")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, str]:
@@ -170,7 +170,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    out, out_at = durable(dealt.mapInArrow(run, "a bigint, b bigint"))
+    out, out_at = durable(arrow_map(dealt, run, "a bigint, b bigint"))
     drop_table(docs.sparkSession, want_at, ids_at)
     return out, out_at
 
@@ -251,7 +251,7 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield out(*group(held))
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return arrow_map(dealt, run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, drop_table, durable, table_bytes, text_slices
+from .common import BROADCAST_BYTES, arrow_map, drop_table, durable, table_bytes, text_slices
 
 LENGTH, TRIGGER = 200, 64
 #: Bytes hashed at a time, and the overlap of the pieces of a longer text.
@@ -199,7 +199,7 @@ def _entry_rows(docs: DataFrame, length: int, k: int, slice_bytes: int = 8 << 20
                     names=["key", "entry", "doc_id", "mark", "at"],
                 )
 
-    return docs.mapInArrow(run, "key bigint, entry bigint, doc_id bigint, mark int, at bigint")
+    return arrow_map(docs, run, "key bigint, entry bigint, doc_id bigint, mark int, at bigint")
 
 
 def orders(texts: list[bytes], group: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -262,7 +262,7 @@ def _ordered(contexts: DataFrame, length: int, k: int) -> DataFrame:
             yield settle(held)
 
     dealt = contexts.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "doc_id bigint, mark int, lo bigint, hi bigint")
+    return arrow_map(dealt, run, "doc_id bigint, mark int, lo bigint, hi bigint")
 
 
 def _counted(contexts: DataFrame, length: int, k: int) -> DataFrame:
@@ -309,9 +309,8 @@ def _contexts(wanted: DataFrame, docs: DataFrame, length: int, k: int) -> DataFr
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return joined.select("doc_id", "mark", "text", "all").mapInArrow(
-        run, "key bigint, doc_id bigint, mark int, pos bigint, n bigint, before binary, after binary, many boolean"
-    )
+    schema = "key bigint, doc_id bigint, mark int, pos bigint, n bigint, before binary, after binary, many boolean"
+    return arrow_map(joined.select("doc_id", "mark", "text", "all"), run, schema)
 
 
 def _matching(docs: DataFrame, ids: DataFrame, at: str) -> DataFrame:
@@ -399,6 +398,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = TRIGGER, wide
                 yield pa.RecordBatch.from_arrays([*columns, part.column(2)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "runs"])
 
     span = "array<struct<lo:bigint,hi:bigint>>"
-    return joined.select("doc_id", "text", "runs").mapInArrow(
-        run, f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, runs {span}"
-    )
+    schema = f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, runs {span}"
+    return arrow_map(joined.select("doc_id", "text", "runs"), run, schema)

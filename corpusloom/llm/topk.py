@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 #: Rows of a block of candidates and of a block of queries.
 BLOCK, QUERIES = 8192, 4096
 #: Vectors left over whose scores are resolved outright.
@@ -140,6 +142,6 @@ def top_k(
                     out[2].append(score)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
 
-    found = dealt.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    found = arrow_map(dealt, run, "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

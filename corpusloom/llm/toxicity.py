@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, drop_table, durable, map_text
+from .common import arrow_map, broadcast_if_small, drop_table, durable, held, map_text
 
 ORDER, WINDOW = 5, 8
 #: Evidence of a clear word, and the number of measures.
@@ -56,7 +56,6 @@ _TRIM = ".,;:!?\"'()[]{}«»“”„…"
 _PAD, _STOP, _WORD = "\x02", "\x03", "\x01"
 #: Evidence of letters beyond this says no more.
 _CLIP = 6.0
-_EVIDENCE: dict[str, tuple[Model, dict[str, complex]]] = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -104,9 +103,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
         settle()
         yield out()
 
-    part = rows.select("text", F.col("side").cast("int").alias("side")).mapInArrow(
-        run, "gram string, c0 bigint, c1 bigint, c2 bigint, c3 bigint"
-    )
+    part = arrow_map(rows.select("text", F.col("side").cast("int").alias("side")), run, "gram string, c0 bigint, c1 bigint, c2 bigint, c3 bigint")
     return part.groupBy("gram").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(4)))
 
 
@@ -193,7 +190,7 @@ class Model:
                             names=["kind", "cell", "a", "b", "ta", "tb"],
                         )
 
-        hashed = every.mapInArrow(run, "kind int, cell bigint, a bigint, b bigint, ta bigint, tb bigint")
+        hashed = arrow_map(every, run, "kind int, cell bigint, a bigint, b bigint, ta bigint, tb bigint")
         summed = hashed.groupBy("kind", F.col("cell").cast("int").alias("cell")).agg(
             *(F.least(F.sum(c), F.lit(2**31 - 1)).cast("int").alias(c) for c in ("a", "b", "ta", "tb"))
         )
@@ -280,10 +277,7 @@ def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
 
     def make():
         # The worker's memory of this model's words outlives a task.
-        if name not in _EVIDENCE:
-            _EVIDENCE.clear()
-            _EVIDENCE[name] = Model.unpacked(model.value), {}
-        own, known = _EVIDENCE[name]
+        own, known = held(name, lambda: (Model.unpacked(model.value), {}))
 
         def work(texts: list) -> list:
             lists = [words_of(t) for t in texts]
