@@ -62,7 +62,7 @@ def natural_key(c: Column, width: int = 20) -> Column:
 
 def marker_encode(c: Column) -> Column:
     """URL-safe base64 without padding."""
-    return F.rtrim(F.translate(F.base64(F.encode(c, "UTF-8")), "+/", "-_"), F.lit("="))
+    return F.rtrim(F.translate(F.base64(F.encode(c, "UTF-8")), "+/\r\n", "-_"), F.lit("="))
 
 
 def marker_decode(c: Column) -> Column:
