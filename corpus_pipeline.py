@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents through the stages below, each written and read again."""
+"""The corpus pipeline: documents through the stages below, each written and read again.
+
+Every stage takes any columns beside doc_id, text, source and n_chars and (the last one
+apart) returns the columns it got; an empty table gives an empty table.  What nulls, empty
+and long texts, ties and repeated rows come to stands with each stage.
+"""
 
 from __future__ import annotations
 
@@ -14,20 +19,33 @@ REJECT = 0.3
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity models, fitted on the table's labels, don't reject."""
+    """Documents that the toxicity models, fitted on the table's labels, don't reject.
+
+    A null or empty text holds no evidence and stays; a repeated row is judged like its
+    first; a null doc_id has no label but is judged too; without labels nothing is rejected
+    unless most labels are toxic.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     scored = toxicity.score_toxicity(docs, labels, id_hash(4) != 2, score_col="__toxicity")
     return scored.where(F.col("__toxicity") < REJECT).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source; n_chars follows the text."""
+    """All documents, without the boilerplate lines of their source; n_chars follows the text.
+
+    A null text stays null and a null source is a source of its own; a repeated row counts
+    as a page; a document whose lines are all boilerplate stays, with an empty text.
+    """
     out = linededup.dedup_lines(docs, counts=False)
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group; a null doc_id belongs to none."""
+    """One document of each near-duplicate group, the one with the smallest doc_id.
+
+    A document without words (or with a null text) is in no group and stays, as does one
+    with a null doc_id; of rows that repeat a doc_id one stays.
+    """
     groups, at = durable(minhash.near_duplicates(docs))
     kept, kept_at = durable(groups.where("kept").select("doc_id").distinct())
     out = docs.join(broadcast_if_small(kept, kept_at), "doc_id", "left_semi").select(*docs.columns)
@@ -38,12 +56,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of a mixture of their sources."""
+    """All documents, in the order of a mixture of their sources.
+
+    A null source is a source of its own; equal rows are numbered in any order.
+    """
     return mixing.mixed_order(mixing.mix(docs)).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE ids of every document that is left, and the digest of what they decode to."""
+    """BPE ids of every document that is left, and the digest of what they decode to.
+
+    A null or empty text has no ids; each repeated row is encoded.
+    """
     out = bpe.encode_decode(docs, bpe.read_vocabulary(vocabulary_path()), keep=["doc_id", "lang", "source"])
     return out.select(
         "doc_id",

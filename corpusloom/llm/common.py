@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Most bytes of one batch that goes to a Python worker, so that two workers and their models fit beside an executor's heap.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 #: A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 16 << 20
 
