@@ -22,8 +22,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the toxicity models, fitted on the table's labels, don't reject.
 
     A null or empty text holds no evidence and stays; a repeated row is judged like its
-    first; a null doc_id has no label but is judged too; without labels nothing is rejected
-    unless most labels are toxic.
+    first; a null doc_id has no label but is judged too; without labels nothing is
+    rejected, and with labels of one class all or nothing.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     scored = toxicity.score_toxicity(docs, labels, id_hash(4) != 2, score_col="__toxicity")

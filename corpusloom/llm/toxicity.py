@@ -19,7 +19,7 @@ kept in tables of a fixed number of hashed cells, so what is broadcast has a fix
 
 Defined results: null and empty texts have no words and get the score of all-zero
 measures; with no usable labels of either class every score is the share of toxic labels
-(0.5 without any); repeated document rows are scored each; of repeated labels the
+(0 without any); repeated document rows are scored each; of repeated labels the
 largest counts; null labels are ignored; an empty table gives an empty table.
 """
 
@@ -332,7 +332,7 @@ def score_toxicity(
     grams, grams_at = durable(gram_counts(rows.withColumn("side", F.col("fold") * 2 + (F.col("toxic") == 0).cast("int"))))
     totals = {r["fold"]: (r["n"], r["t"] or 0) for r in marks.groupBy(fold.alias("fold")).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).collect()}
     n, t = (sum(x) for x in zip(*totals.values(), strict=True)) if totals else (0, 0)
-    share = t / n if n else 0.5
+    share = t / n if n else 0.0
     least = lambda n, t: min(max(t / max(n, 1), 1e-3), 1 - 1e-3)
     weights, model = None, None
     if 0 < share < 1:

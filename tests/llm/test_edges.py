@@ -126,3 +126,8 @@ def test_chat(spark):
         None: ([("user", "")], ""),
     }
     assert chat.format_chat(turns.where("false").withColumn("parts", chat.text_part(F.col("text")))).count() == 0
+
+
+def test_nothing_rejected_without_labels(spark, docs, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.reject_toxic(spark, docs, str(tmp_path)).count() == len(ROWS)
