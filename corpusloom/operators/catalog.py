@@ -58,7 +58,7 @@ def folder_tree(records: DataFrame, repo_col: str = "repo", folder_col: str = "f
     nodes = path_rollup(records, repo_col, folder_col)
     own = F.split("path", "/")
     nodes = nodes.withColumn("parent_path", F.when(F.col("depth") > 0, F.array_join(F.slice(own, 1, F.col("depth") - 1), "/"))).withColumn(
-        "name", F.when(F.col("depth") > 0, F.element_at(own, -1)).otherwise(F.col("repo"))
+        "name", F.when(F.col("depth") > 0, F.element_at(own, -1)).otherwise(F.substring_index("repo", "/", -1))
     )
     children = nodes.where("depth > 0").groupBy(F.col("repo").alias("r"), F.col("parent_path").alias("p"), F.col("depth").alias("d")).agg(
         F.count(F.lit(1)).alias("n_children")
@@ -67,7 +67,7 @@ def folder_tree(records: DataFrame, repo_col: str = "repo", folder_col: str = "f
     has = F.col("n_children").isNotNull()
     return joined.select(
         "repo", "path", "parent_path", "name", "depth", "n_files", "has_direct",
-        F.coalesce("n_children", F.lit(0)).alias("n_children"), has.alias("has_children"), (has & F.col("has_direct")).alias("show_self"),
+        F.coalesce("n_children", F.lit(0)).alias("n_children"), has.alias("has_children"), (has & F.col("has_direct") & (F.col("path") != "")).alias("show_self"),
     )
 
 

@@ -51,7 +51,7 @@ SELECT n.repo, array_to_string(n.f, '/') AS path,
   CASE WHEN n.depth > 0 THEN array_to_string(n.f[1:n.depth - 1], '/') END AS parent_path,
   CASE WHEN n.depth > 0 THEN n.f[-1] ELSE n.repo END AS name, n.depth, n_files, has_direct,
   coalesce(n_children, 0) AS n_children, n_children IS NOT NULL AS has_children,
-  n_children IS NOT NULL AND has_direct AS show_self
+  n_children IS NOT NULL AND has_direct AND n.depth > 0 AS show_self
 FROM n LEFT JOIN c ON n.repo = c.repo AND n.f = c.f AND n.depth = c.depth"""
     )
 )

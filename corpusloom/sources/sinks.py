@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.udfs import varint, varint_postings
 from ..operators.catalog import first_page
 
-#: The beginnings of index files, and the size above which a text is stored as a large file.
-NGRAM_MAGIC, WORD_MAGIC = b"NGX1", b"WRD1"
+#: The beginnings of index files, the version of page files, their rows, and the size above which a text is stored as a large file.
+NGRAM_MAGIC, WORD_MAGIC = b"VNG3", b"VWI2"
+VERSION, PAGE = 2, 100
 LARGE_FILE = 10 << 20
 
 
@@ -64,46 +65,83 @@ def page_name(repo: str) -> str:
     return quote(repo.rsplit("/", 1)[-1], safe="") + ".json"
 
 
-def write_first_pages(spark: SparkSession, folder: str, records: DataFrame, order_col: str = "record_id", page: int = 100) -> list[str]:
-    """The first page of every repo and of all, as JSON files of at most ``page`` rows; their paths in order."""
+def _result(repo: str, row: dict) -> dict:
+    """A result row under its long keys; a missing size is the empty text."""
+    size = "" if row["size"] is None else row["size"]
+    return {"Repo": repo, "File": row["file"], "Extension": row["extension"], "Folder": list(row["folder"] or []), "Size": size, "HasTxt": row["has_txt"]}
+
+
+def _page(repo: str | None, total: int, results: list[dict], page: int) -> dict:
+    head = {"version": VERSION, "mode": "repo" if repo else "global", "repo": repo, "sort": "relevance"}
+    return head | {"page": 1, "page_size": page, "total": total, "results": results}
+
+
+def write_first_pages(spark: SparkSession, folder: str, records: DataFrame, order_col: str = "record_id", page: int = PAGE, prefix: str = "/data") -> list[str]:
+    """The first page of all records and of every repo, and a manifest of their addresses, which are returned."""
     columns = ["repo", "file", "extension", "folder", "size", "has_txt"]
-    top = first_page(records.select(order_col, *columns), order_col, ["repo"], page)
+    rows = records.select(order_col, *columns)
+    every = [_result(r["repo"], r.asDict()) for r in rows.orderBy(order_col).limit(page).collect()]
+    write_bytes(spark, f"{folder}/initial/global.json", compact_json(_page(None, records.count(), every, page)))
+    urls = [f"{prefix}/initial/global.json"]
+    top = first_page(rows.where(F.col("repo") != ""), order_col, ["repo"], page)
     files = top.groupBy("repo").agg(F.max("total").alias("total"), F.array_sort(F.collect_list(F.struct("place", *columns[1:]))).alias("results"))
-    urls = []
     for row in files.orderBy("repo").toLocalIterator():
-        results = [{k: v for k, v in r.asDict().items() if k != "place"} | {"repo": row["repo"]} for r in row["results"]]
-        write_bytes(spark, f"{folder}/{page_name(row['repo'])}", compact_json({"total": row["total"], "results": results}))
-        urls.append(page_name(row["repo"]))
+        repo = row["repo"]
+        results = [_result(repo, r.asDict()) for r in row["results"]]
+        write_bytes(spark, f"{folder}/initial/repos/{page_name(repo)}", compact_json(_page(repo, row["total"], results, page)))
+        urls.append(f"{prefix}/initial/repos/{page_name(repo)}")
+    write_bytes(spark, f"{folder}/initial/manifest.json", compact_json({"version": VERSION, "urls": urls}))
     return urls
 
 
-def nested_tree(tree: DataFrame) -> list[dict]:
-    """The folder tree as nested nodes under short keys (n name, c count, df direct files, ch children), by name."""
+def nested_tree(tree: DataFrame) -> dict[str, list[dict]]:
+    """By repo, the folder tree as nested nodes under short keys (n name, c count, df direct files, ch children), by name."""
     nodes: dict[tuple, dict] = {}
-    roots: list[dict] = []
+    roots: dict[str, list[dict]] = {}
     for r in tree.orderBy("depth", "repo", "name").toLocalIterator():  # parents come before their children
-        node = {"n": r["name"], "c": r["n_files"], "df": int(r["has_direct"]), "ch": []}
+        node = {"n": r["name"], "c": r["n_files"], "df": r["has_direct"], "ch": []}
         nodes[r["repo"], r["depth"], r["path"]] = node
-        above = roots if r["depth"] == 0 else nodes[r["repo"], r["depth"] - 1, r["parent_path"]]["ch"]
+        above = roots.setdefault(r["repo"], []) if r["depth"] == 0 else nodes[r["repo"], r["depth"] - 1, r["parent_path"]]["ch"]
         above.append(node)
     return roots
 
 
-def write_sidebars(spark: SparkSession, folder: str, records: DataFrame) -> dict[str, int]:
-    """The root entry of every repo (its folders with counts and its own files), and a file of all repos' counts."""
+def _folder_item(x) -> dict:
+    return {"n": x["name"], "c": x["n_files"]}
+
+
+def _file_item(x) -> dict:
+    return {"n": x["file"], "e": x["extension"], "t": x["has_txt"], "s": "" if x["size"] is None else x["size"]}
+
+
+def nested_browser(records: DataFrame) -> dict[str, dict[str, dict]]:
+    """By repo and path, the folder and file items under short keys (d folders, f files)."""
+    from ..operators.catalog import browser_files, browser_folders
+
+    both = browser_folders(records).join(browser_files(records), ["repo", "path"], "full")
+    out: dict[str, dict[str, dict]] = {}
+    for r in both.orderBy("repo", "path").toLocalIterator():
+        entry = {"d": [_folder_item(x) for x in r["folders"] or []], "f": [_file_item(x) for x in r["files"] or []]}
+        out.setdefault(r["repo"], {})[r["path"]] = entry
+    return out
+
+
+def write_sidebars(spark: SparkSession, folder: str, records: DataFrame, prefix: str = "/data") -> list[str]:
+    """All repos' counts, the root entry of every repo, and a manifest of their addresses, which are returned."""
     from ..operators.catalog import browser_files, browser_folders, sidebar_counts
 
     root = F.col("path") == ""
     counts = sidebar_counts(records)
     entries = counts.join(browser_folders(records).where(root).drop("path"), "repo", "left").join(browser_files(records).where(root).drop("path"), "repo", "left")
-    totals: dict[str, int] = {}
+    totals, urls = [], [f"{prefix}/sidebar/global.json"]
     for r in entries.orderBy("repo").toLocalIterator():
-        folders = [{"n": x["name"], "c": x["n_files"]} for x in r["folders"] or []]
-        files = [{"n": x["file"], "e": x["extension"], "t": int(x["has_txt"]), "s": x["size"]} for x in r["files"] or []]
-        write_bytes(spark, f"{folder}/{page_name(r['repo'])}", compact_json({"folders": folders, "files": files}))
-        totals[r["repo"]] = r["n"]
-    write_bytes(spark, f"{folder}/counts.json", compact_json(totals))
-    return totals
+        entry = {"repo": r["repo"], "path": "", "folders": [_folder_item(x) for x in r["folders"] or []], "files": [_file_item(x) for x in r["files"] or []]}
+        write_bytes(spark, f"{folder}/sidebar/repos/{page_name(r['repo'])}", compact_json(entry))
+        totals.append({"name": r["repo"], "count": r["n"]})
+        urls.append(f"{prefix}/sidebar/repos/{page_name(r['repo'])}")
+    write_bytes(spark, f"{folder}/sidebar/global.json", compact_json({"repos": totals}))
+    write_bytes(spark, f"{folder}/sidebar/manifest.json", compact_json({"version": VERSION, "urls": urls}))
+    return urls
 
 
 def next_snapshot(df: DataFrame, folder: str, version: int) -> str:
@@ -137,11 +175,12 @@ def index_bytes(terms: Iterable[tuple[str, list[int]]]) -> bytes:
     return bytes(out)
 
 
-def write_index(spark: SparkSession, path: str, postings: DataFrame, digest: bytes, n_records: int, width: int | None = None) -> None:
-    """The binary index of (term, postings): n-grams of ``width`` or, without it, words."""
-    magic = WORD_MAGIC + b"\1" if width is None else NGRAM_MAGIC + bytes([width])
+def write_index(spark: SparkSession, path: str, postings: DataFrame, digest: bytes, n_records: int, width: int | None = None, tokenizer: str = "latin-cjk-char-v1") -> None:
+    """The compressed binary index of (term, postings): n-grams of ``width`` or, without it, words of a named tokenizer."""
+    name = tokenizer.encode()
+    head = WORD_MAGIC + varint(len(name)) + name if width is None else NGRAM_MAGIC + bytes([width])
     rows = ((r["term"], r["postings"]) for r in postings.select("term", "postings").toLocalIterator())
-    write_bytes(spark, path, magic + digest + varint(n_records) + index_bytes(rows))
+    write_bytes(spark, path, gzip.compress(head + digest + varint(n_records) + index_bytes(rows), 9, mtime=0))
 
 
 def publish_generation(spark: SparkSession, root: str, generation: str, tables: dict[str, DataFrame], manifest: dict, keep: int = 2) -> list[str]:

@@ -29,15 +29,19 @@ def test_landed_pages(spark, tmp_path):
 def test_nested_tree(spark):
     rows = [(0, "r", "f", "txt", ["a", "b"], 1, False), (1, "r", "g", "", ["a"], 2, True), (2, "r", "h", "", [], None, False)]
     tree = sinks.nested_tree(catalog.folder_tree(spark.createDataFrame(rows, payload.RECORD)))
-    leaf = {"n": "b", "c": 1, "df": 1, "ch": []}
-    assert tree == [{"n": "r", "c": 3, "df": 1, "ch": [{"n": "a", "c": 2, "df": 1, "ch": [leaf]}]}]
+    leaf = {"n": "b", "c": 1, "df": True, "ch": []}
+    assert tree == {"r": [{"n": "r", "c": 3, "df": True, "ch": [{"n": "a", "c": 2, "df": True, "ch": [leaf]}]}]}
+    browser = sinks.nested_browser(spark.createDataFrame(rows, payload.RECORD))
+    assert browser["r"][""] == {"d": [{"n": "a", "c": 2}], "f": [{"n": "h", "e": "", "t": False, "s": ""}]}
 
 
 def test_sidebars(spark, tmp_path):
     rows = [(0, "o/r", "f", "txt", ["a"], 1, False), (1, "o/r", "g", "", [], 2, True), (2, "", "h", "", [], None, False)]
-    assert sinks.write_sidebars(spark, str(tmp_path), spark.createDataFrame(rows, payload.RECORD)) == {"o/r": 2}
-    page = json.loads((tmp_path / "r.json").read_text())
-    assert page == {"folders": [{"n": "a", "c": 1}], "files": [{"n": "g", "e": "", "t": 1, "s": 2}]}
+    urls = sinks.write_sidebars(spark, str(tmp_path), spark.createDataFrame(rows, payload.RECORD))
+    assert urls == ["/data/sidebar/global.json", "/data/sidebar/repos/r.json"]
+    page = json.loads((tmp_path / "sidebar/repos/r.json").read_text())
+    assert page == {"repo": "o/r", "path": "", "folders": [{"n": "a", "c": 1}], "files": [{"n": "g", "e": "", "t": True, "s": 2}]}
+    assert json.loads((tmp_path / "sidebar/global.json").read_text()) == {"repos": [{"name": "o/r", "count": 2}]}
 
 
 def test_small_review_pieces(spark):

@@ -18,10 +18,14 @@ def test_json_twins(spark, tmp_path):
 def test_first_pages(spark, tmp_path):
     rows = [(i, f"o/r{i % 2}", f"f{i}", "txt", ["a"], i, False) for i in range(250)]
     urls = sinks.write_first_pages(spark, str(tmp_path), spark.createDataFrame(rows, payload.RECORD))
-    assert urls == ["r0.json", "r1.json"]
-    with open(tmp_path / "r1.json") as f:
+    assert urls == [f"/data/initial/{x}.json" for x in ("global", "repos/r0", "repos/r1")]
+    with open(tmp_path / "initial/repos/r1.json") as f:
         page = json.load(f)
-    assert page["total"] == 125 and len(page["results"]) == 100 and page["results"][0]["file"] == "f1"
+    assert {k: v for k, v in page.items() if k != "results"} == {"version": 2, "mode": "repo", "repo": "o/r1", "sort": "relevance", "page": 1, "page_size": 100, "total": 125}
+    assert len(page["results"]) == 100
+    assert page["results"][0] == {"Repo": "o/r1", "File": "f1", "Extension": "txt", "Folder": ["a"], "Size": 1, "HasTxt": False}
+    with open(tmp_path / "initial/global.json") as f:
+        assert json.load(f)["total"] == 250
 
 
 def test_generations(spark, tmp_path):
@@ -43,6 +47,14 @@ def test_index_bytes():
     assert sinks.index_bytes([("b", [3]), ("a", [0, 2])]) == varint(2) + b"\x01a\x02\x02\x00\x02" + b"\x01b\x01\x01\x03"
 
 
+def test_index_file(spark, tmp_path):
+    path = str(tmp_path / "x.bin.gz")
+    postings = spark.createDataFrame([("ab", [1, 3])], "term string, postings array<bigint>")
+    sinks.write_index(spark, path, postings, b"d" * 32, 5, width=2)
+    with gzip.open(path) as f:
+        assert f.read() == b"VNG3\x02" + b"d" * 32 + b"\x05" + b"\x01\x02ab\x02\x02\x01\x02"
+
+
 def test_state(spark, tmp_path):
     path = str(tmp_path / "state.json")
     schema = "version int, name string"
