@@ -209,4 +209,20 @@ def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP7_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS k
+      FROM (SELECT r, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS i FROM d)),
+k AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+s AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS gap FROM w SEMI JOIN k USING (k)),
+g AS (SELECT r, i, sum(CASE WHEN gap IS NULL OR gap > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+u AS (SELECT r, run, min(i) AS lo, max(i) + 200 AS hi FROM g GROUP BY r, run),
+e AS (SELECT r, lo, hi FROM u UNION ALL SELECT r, length(h) // 2, length(h) // 2 FROM d),
+p AS (SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo, hi), 0) AS a, lo AS b, hi FROM e)
+SELECT d.doc_id, length(any_value(h)) // 2 AS n_bytes, CAST(sum(hi - b) AS BIGINT) AS n_removed, count(*) FILTER (hi > b) AS n_spans,
+  sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b))) AS kept_sha256
+FROM p JOIN d USING (r) GROUP BY r, d.doc_id
+"""
+
 QUERIES |= {"op7_suffix": op7_suffix}
+ORACLE_SQL |= {"op7_suffix": OP7_SQL}
