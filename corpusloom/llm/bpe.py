@@ -27,7 +27,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _SPACE = r"\p{White_Space}"
 _NEVER = 1 << 62
 #: Pieces remembered by one task, and the longest of them in characters.
-MEMORY, LONGEST = 200_000, 64
+MEMORY, LONGEST = 120_000, 64
 #: Children of a node of the segment tree; a minimum over a short list is one fast call.
 FAN = 32
 
@@ -127,6 +127,8 @@ class Codec:
         return tuple(i for i in ids if i >= 0)
 
     def _plain(self, text: str) -> list[int]:
+        if len(self.known) >= MEMORY:
+            self.known = _Known(self, self.known)
         return [*chain.from_iterable(map(self.known.__getitem__, self.pieces(text)))]
 
     def encode(self, text: str | None) -> list[int]:
@@ -148,11 +150,13 @@ class Codec:
 
 
 class _Known(dict):
-    """Pieces met so far in two generations: when the young one is full it becomes the old one."""
+    """Pieces met so far in two generations: when the young one is full it becomes the old one of the next."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, codec: Codec, old: dict | None = None):
         super().__init__()
-        self.codec, self.old = codec, {}
+        if old is not None:
+            old.old = {}
+        self.codec, self.old = codec, old if old is not None else {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.old.get(piece)
@@ -160,9 +164,6 @@ class _Known(dict):
             ids = self.codec.merge(piece.encode("utf-8", "replace"))
             if len(piece) > LONGEST:
                 return ids
-        if len(self) >= MEMORY:
-            self.old = dict(self)
-            self.clear()
         self[piece] = ids
         return ids
 
