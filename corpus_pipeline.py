@@ -16,6 +16,8 @@ from corpusloom.llm.queries import id_hash, vocabulary_path
 
 #: Documents at or above this score of toxicity are rejected.
 REJECT = 0.3
+#: Pieces that a tokenizing worker keeps: the stages share their workers' memory.
+REMEMBER = 150_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +70,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text has no ids; each repeated row is encoded.
     """
-    out = bpe.encode_decode(docs, bpe.read_vocabulary(vocabulary_path()), keep=["doc_id", "lang", "source"])
+    out = bpe.encode_decode(docs, bpe.read_vocabulary(vocabulary_path()), keep=["doc_id", "lang", "source"], remember=REMEMBER)
     return out.select(
         "doc_id",
         "lang",

@@ -26,8 +26,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Unicode white space; the regex module's own \s also takes U+001C to U+001F.
 _SPACE = r"\p{White_Space}"
 _NEVER = 1 << 62
-#: Pieces remembered by one task, and the longest of them in characters.
-MEMORY, LONGEST = 120_000, 64
+#: Pieces that a worker remembers in a generation (about 250 bytes each), and the longest of them in characters.
+MEMORY, LONGEST = 500_000, 64
 #: Children of a node of the segment tree; a minimum over a short list is one fast call.
 FAN = 32
 
@@ -65,9 +65,10 @@ class SegmentTree:
 class Codec:
     """Encodes and decodes with the vocabulary of a ``tokenizers`` JSON file, given as its text."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, remember: int = MEMORY):
         import regex
 
+        self.remember = remember
         conf = json.loads(tokenizer_json)
         model = conf["model"]
         vocab: dict[str, int] = model["vocab"]
@@ -127,7 +128,7 @@ class Codec:
         return tuple(i for i in ids if i >= 0)
 
     def _plain(self, text: str) -> list[int]:
-        if len(self.known) >= MEMORY:
+        if len(self.known) >= self.remember:
             self.known = _Known(self, self.known)
         return [*chain.from_iterable(map(self.known.__getitem__, self.pieces(text)))]
 
@@ -168,9 +169,9 @@ class _Known(dict):
         return ids
 
 
-def codec_of(vocabulary: str) -> Codec:
+def codec_of(vocabulary: str, remember: int = MEMORY) -> Codec:
     """The codec of a vocabulary; a worker keeps the last one, and the pieces it has met, from task to task."""
-    return held("bpe" + hashlib.sha256(vocabulary.encode()).hexdigest(), lambda: Codec(vocabulary))
+    return held(f"bpe{remember}-{hashlib.sha256(vocabulary.encode()).hexdigest()}", lambda: Codec(vocabulary, remember))
 
 
 def read_vocabulary(path: str) -> str:
@@ -186,11 +187,13 @@ def encode_decode(
     ids_col: str = "ids",
     decoded_col: str | None = "decoded",
     keep: list[str] | None = None,
+    remember: int = MEMORY,
 ) -> DataFrame:
     """Add the ids of each whole text and, unless ``decoded_col`` is None, their decoding.
 
     ``vocabulary`` is the text of a tokenizer file (see ``read_vocabulary``).  No
-    shuffle: a map over the rows, in slices of bounded size.
+    shuffle: a map over the rows, in slices of bounded size.  ``remember`` bounds the pieces
+    that a worker keeps: fewer take less memory and more merging.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))]
@@ -198,7 +201,7 @@ def encode_decode(
         fields.append(T.StructField(decoded_col, T.StringType()))
 
     def make():
-        codec = codec_of(shared.value)
+        codec = codec_of(shared.value, remember)
 
         def work(texts: list) -> list:
             ids = [codec.encode(t) for t in texts]
