@@ -1,15 +1,16 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Every source's rows are dealt into blocks.  Block i (from 0) of a source with weight w
-out of W is released at slot floor(i W / w) and due at ceil((i + 1) W / w); one block
-goes to each slot, the released one with the earliest deadline (ties to the smaller
-name).  On one processor this meets all deadlines, so after any number of slots each
-source has had its share within less than one block.
-
-The schedule repeats after W slots, so only one period of at most ``MAX_PERIOD`` slots
-is simulated (for each set of sources still alive); every row then finds its slot by
-arithmetic.  When a source is used up, the others go on with their weights scaled up, so
-every row comes out exactly once.
+Every source's rows are dealt into blocks, and one block goes to each slot.  In the ideal
+mixture all sources run at once, each at its weight out of the weights of those that
+last; when one is used up, the others go on with their weights scaled up.  A block is
+released in the slot in which the ideal mixture begins it and due by the slot in which
+that ends it; each slot takes the released block with the earliest deadline (ties to the
+smaller name).  On one processor this meets all deadlines, so after any number of slots
+each source has had its share within less than one block, and every row comes out once.
+
+Releases and deadlines are computed in whole numbers for the whole run (a block stands
+for ``block_rows`` rows): weights that are not whole are multiples of 2^-48 of the largest
+one.  The schedule is a table of source, block and slot, written in pieces and joined.
 
 A row's rank in its source is exact: rows are bucketed by hash so that no bucket of a hot
 source is large, buckets are counted and summed up, and rows are numbered inside theirs.
@@ -23,82 +24,104 @@ columns give way to them.
 from __future__ import annotations
 
 import heapq
-from math import ceil
-
-from pyspark.sql import DataFrame, Window
+import uuid
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import islice
+from math import ceil, inf
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, durable
+from .common import broadcast_if_small, durable, shared_folder
 
 BLOCK_ROWS = 64
-MAX_PERIOD = 1000
+#: Bits of a weight that is not whole; slots of the schedule written at once.
+WEIGHT_BITS, PIECE = 48, 1 << 18
 #: Rows of a source numbered together, on average; and the most sources a mixture may have.
 BUCKET_ROWS, MAX_SOURCES = 4096, 1000
 
-PHASES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("first", T.LongType()),
-            T.StructField("last", T.LongType()),
-            T.StructField("base", T.LongType()),
-            T.StructField("period", T.LongType()),
-            T.StructField("slots", T.ArrayType(T.IntegerType())),
-        ]
-    )
-)
+PLAN = T.StructType([T.StructField("__owner", T.LongType()), T.StructField("__turn", T.LongType()), T.StructField("__slot", T.LongType())])
 
 
-def whole_weights(weights: dict, period: int = MAX_PERIOD) -> dict:
-    """Positive integers near ``weights``, with a sum near ``period``; weights that are whole and small stay as they are."""
-    if any(not w > 0 for w in weights.values()):
+def whole_weights(weights: list) -> list[int]:
+    """Positive integers in proportion to ``weights``, to 2^-48 of the largest; whole weights stay as they are."""
+    if any(not 0 < w < inf for w in weights):
         raise ValueError("weights must be positive")
-    if all(w == int(w) for w in weights.values()) and sum(weights.values()) <= period:
-        return {s: int(w) for s, w in weights.items()}
-    total = sum(weights.values())
-    return {s: max(1, round(w / total * period)) for s, w in weights.items()}
+    if all(w == int(w) and w <= 1 << WEIGHT_BITS for w in weights):
+        return [int(w) for w in weights]
+    top = max(weights)
+    return [max(1, round(w / top * (1 << WEIGHT_BITS))) for w in weights]
+
+
+def deal(blocks: list[int], weights: list[int]) -> Iterator[int]:
+    """The source of each slot, as its place in the lists, by earliest deadline first among released blocks."""
+    # A source has run its first i blocks when i / weight has passed on a clock of all sources.
+    # As keys such times keep their order: different ones are 2^-96 apart or more.
+    clock = lambda i, w: (i << 128) // w
+    used_up = sorted((clock(n, w), k) for k, (n, w) in enumerate(zip(blocks, weights, strict=True)) if n)
+    ends, gone, alive = [at for at, _ in used_up], [0], [sum(weights[k] for _, k in used_up)]
+    for _, k in used_up:
+        gone.append(gone[-1] + blocks[k])
+        alive.append(alive[-1] - weights[k])
+    begun = [0] * len(blocks)
+
+    def window(k: int) -> tuple[int, int, int]:
+        """The deadline of the source's next block, the source, and the release of the block after that."""
+        begun[k] += 1
+        at, w = bisect_left(ends, clock(begun[k], weights[k])), weights[k]
+        run = begun[k] * alive[at]
+        return gone[at] - (-run // w), k, gone[at] + run // w
+
+    ready = [window(k) for k, n in enumerate(blocks) if n]
+    waiting: list[tuple[int, int]] = []  # by release
+    heapq.heapify(ready)
+    for t in range(sum(blocks)):
+        while waiting and waiting[0][0] <= t:
+            heapq.heappush(ready, window(heapq.heappop(waiting)[1]))
+        _, k, release = heapq.heappop(ready)
+        yield k
+        if begun[k] < blocks[k]:
+            heapq.heappush(waiting, (release, k))
+
+
+def _by_name(sources) -> list:
+    return sorted(sources, key=lambda s: (s is not None, s))
 
 
 def pattern(weights: dict) -> dict:
-    """The slots of each source in one period, by earliest deadline first among released blocks."""
-    total = sum(weights.values())
-    names = sorted(weights, key=lambda s: (s is not None, s))
-    slots: dict = {s: [] for s in names}
-    waiting = [(0, k) for k in range(len(names))]  # by release
-    ready: list[tuple[int, int]] = []  # by deadline
-    heapq.heapify(waiting)
-    for t in range(total):
-        while waiting and waiting[0][0] <= t:
-            k = heapq.heappop(waiting)[1]
-            w = weights[names[k]]
-            heapq.heappush(ready, (-(-(len(slots[names[k]]) + 1) * total // w), k))
-        _, k = heapq.heappop(ready)
-        own = slots[names[k]]
-        own.append(t)
-        heapq.heappush(waiting, (len(own) * total // weights[names[k]], k))
-    return slots
+    """The slots of each source while each gives as many blocks as its whole weight."""
+    return {s: phases[0][4] for s, phases in schedule(weights, weights).items()}
 
 
 def schedule(blocks: dict, weights: dict) -> dict:
-    """For each source its phases: (first block, last block + 1, base slot, period, slots in a period)."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    whole = whole_weights({s: weights[s] for s in left}) if left else {}
-    done = dict.fromkeys(left, 0)
-    out: dict = {s: [] for s in left}
-    base = 0
-    while left:
-        own = {s: whole[s] for s in left}
-        slots, period = pattern(own), sum(own.values())
-        end = min((n - 1) // own[s] * period + slots[s][(n - 1) % own[s]] + 1 for s, n in left.items())
-        for s in list(left):
-            used = end // period * own[s] + sum(x < end % period for x in slots[s])
-            out[s].append((done[s], done[s] + used, base, period, slots[s]))
-            done[s] += used
-            left[s] -= used
-            if not left[s]:
-                del left[s]
-        base += end
-    return out
+    """For each source its phases: (first block, last block + 1, base slot, period, slots in a period); one for the whole run."""
+    names = _by_name(s for s, n in blocks.items() if n > 0)
+    slots: list[list[int]] = [[] for _ in names]
+    for t, k in enumerate(deal([blocks[s] for s in names], whole_weights([weights[s] for s in names]))):
+        slots[k].append(t)
+    return {s: [(0, len(own), 0, sum(map(len, slots)), own)] for s, own in zip(names, slots, strict=True)}
+
+
+def plan_table(spark: SparkSession, blocks: list[int], weights: list[int]) -> tuple[DataFrame, str]:
+    """The schedule as a durable table: ``__owner`` (the source's place), ``__turn`` (its block) and ``__slot``."""
+    path = f"{shared_folder(spark)}/corpusloom-{uuid.uuid4().hex}"
+    spark.createDataFrame([], PLAN).write.parquet(path)
+    owners, base, turn = deal(blocks, weights), 0, np.zeros(len(blocks), np.int64)
+    while len(owner := np.fromiter(islice(owners, PIECE), np.int64)):
+        # Blocks are numbered in their source: by place inside its run of the sorted piece.
+        by = np.argsort(owner, kind="stable")
+        own, first, n = np.unique(owner[by], return_index=True, return_counts=True)
+        turns = np.empty(len(owner), np.int64)
+        turns[by] = np.arange(len(owner)) - np.repeat(first, n) + np.repeat(turn[own], n)
+        turn[own] += n
+        columns = [pa.array(owner), pa.array(turns), pa.array(np.arange(base, base + len(owner)))]
+        spark.createDataFrame(pa.table(columns, names=PLAN.names), PLAN).write.mode("append").parquet(path)
+        base += len(owner)
+    return spark.read.schema(PLAN).parquet(path), path
 
 
 def temperature_weights(rows: dict, alpha: float = 0.5) -> dict:
@@ -127,18 +150,18 @@ def mix(
         raise ValueError(f"a mixture takes at most {MAX_SOURCES} sources")
     rows = {r["s"]: r["n"] for r in counted}
     own = temperature_weights(rows, alpha) if weights is None else {s: weights.get(s, default) for s in rows}
-    plan = schedule({s: ceil(n / block_rows) for s, n in rows.items()}, own)
+    names = _by_name(rows)
+    plan, plan_at = plan_table(spark, [ceil(rows[s] / block_rows) for s in names], whole_weights([own[s] for s in names]))
     kind = docs.schema[source_col].dataType
     by_source = spark.createDataFrame(
-        [(s, max(1, ceil(n / BUCKET_ROWS)), plan[s]) for s, n in rows.items()],
-        T.StructType([T.StructField("__s", kind), T.StructField("__buckets", T.IntegerType()), T.StructField("__phases", PHASES)]),
+        [(s, max(1, ceil(rows[s] / BUCKET_ROWS)), k) for k, s in enumerate(names)],
+        T.StructType([T.StructField("__s", kind), T.StructField("__buckets", T.IntegerType()), T.StructField("__place", T.LongType())]),
     )
     same = source.eqNullSafe(F.col("__s"))
     taken = [c for c in docs.columns if c not in ("block", "slot", "in_block")]
-    # The schedule has at most MAX_SOURCES phases of MAX_PERIOD + MAX_SOURCES slots, whatever the rows.
     dealt = (
         docs.select(*taken)
-        .join(F.broadcast(by_source.select("__s", "__buckets")), same)
+        .join(F.broadcast(by_source), same)
         .drop("__s")
         .withColumn("__h", F.xxhash64(F.col(id_col), F.lit(42)))
         .withColumn("__bucket", F.floor((F.col("__h") / F.lit(2.0**64) + 0.5) * F.col("__buckets")).cast("int"))
@@ -156,15 +179,10 @@ def mix(
         .drop("__s")
         .withColumn("__rank", F.col("__start") + F.col("__n") - 1)
         .withColumn("block", F.floor(F.col("__rank") / block_rows))
-        .join(F.broadcast(by_source.select("__s", "__phases")), same)
     )
-    phase = F.filter("__phases", lambda p: (p["first"] <= F.col("block")) & (F.col("block") < p["last"]))[0]
-    ranked = ranked.withColumn("__p", phase).withColumn("__j", F.col("block") - F.col("__p.first"))
-    size = F.size("__p.slots")
-    turn = (F.col("__j") - F.col("__j") % size) / size
-    slot = F.col("__p.base") + turn.cast("bigint") * F.col("__p.period") + F.get("__p.slots", (F.col("__j") % size).cast("int"))
-    return ranked.select(
-        *taken, "block", slot.cast("bigint").alias("slot"), (F.col("__rank") % block_rows).cast("int").alias("in_block")
+    placed = ranked.join(broadcast_if_small(plan, plan_at), (F.col("__place") == F.col("__owner")) & (F.col("block") == F.col("__turn")))
+    return placed.select(
+        *taken, "block", F.col("__slot").alias("slot"), (F.col("__rank") % block_rows).cast("int").alias("in_block")
     )
 
 
