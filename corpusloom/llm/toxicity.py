@@ -14,8 +14,11 @@ its best window of ``WINDOW`` words, its strongest one and three words; and by t
 of clear words.  A logistic curve, fitted on labelled rows that the counts had not seen,
 turns these into a probability.
 
-Counts are gathered from every labelled training row (they grow with the labels) and
-kept in tables of a fixed number of hashed cells, so what is broadcast has a fixed size.
+Counts are gathered from every labelled training row and kept exactly, in tables that grow
+with the labels.  The evidence of each different word of the documents is computed by
+joins with these tables.  Workers hold the evidence of the commonest words (all of them
+where there are at most ``HELD_WORDS``), by 64-bit keys; that of rarer ones is joined to
+the documents that have them.
 
 Defined results: null and empty texts have no words and get the score of all-zero
 measures; with no usable labels of either class every score is the share of toxic labels
@@ -25,11 +28,10 @@ largest counts; null labels are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import pickle
 import uuid
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +44,16 @@ from .common import arrow_map, broadcast_if_small, drop_table, durable, held, ma
 ORDER, WINDOW = 5, 8
 #: Evidence of a clear word, and the number of measures.
 CLEAR, MEASURES = 2.5, 10
-#: Hashed cells of each order's table (0: words): the bound on what is collected and broadcast.
-CELLS = {0: 1 << 20, 1: 1 << 12, 2: 1 << 16, 3: 1 << 18, 4: 1 << 19, 5: 1 << 20}
 #: Fixed discount of the Kneser-Ney counts.
 DISCOUNT = 0.75
 #: Labelled rows, at most, that the logistic curve is fitted on.
 CALIBRATION_ROWS = 20_000
 #: Words whose evidence a worker remembers.
 REMEMBERED = 300_000
+#: The commonest words that all workers hold, at most: 16 bytes each.  The rest is joined.
+HELD_WORDS = 1 << 22
+#: Counts of texts above this are not told apart when the commonest words are chosen.
+_COMMON = 10_000
 #: Flush sizes of a task's counters.
 _WORDS, _GRAMS = 100_000, 250_000
 _TRIM = ".,;:!?\"'()[]{}«»“”„…"
@@ -107,152 +111,149 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return part.groupBy("gram").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(4)))
 
 
-def cells(points: np.ndarray, order: int) -> np.ndarray:
-    """The hashed cell of each row of code points in the table of an order."""
-    h = np.full(len(points), points.shape[1], np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(points.shape[1]):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + points[:, k].astype(np.uint64) + np.uint64(1)
-            h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - 20)).astype(np.int64) & (CELLS[order] - 1)
-
-
-def word_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashed cells of each word; the lesser of the two counts is the better."""
-    data = [w.encode("utf-8", "surrogatepass") for w in words]
-    return tuple(np.array([zlib.crc32(d, seed) & (CELLS[0] - 1) for d in data], np.int64) for seed in (0, 0x5BD1E995))
-
-
-def _points(grams: list[str], n: int) -> np.ndarray:
-    return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
-
-
-class Model:
-    """Dense tables of hashed cells; ``evidence`` scores words."""
-
-    def __init__(self, tables: dict[int, np.ndarray], share: float):
-        #: The share of toxic documents.
-        self.share = share
-        #: 0: documents by word, toxic and ordinary, under two hashes.  Then by n: rows are gram counts (two for the highest order), then context sums and context types.
-        self.tables = tables
-
-    @classmethod
-    def unpacked(cls, data: bytes) -> Model:
-        """A model from what ``fit`` returns."""
-        parts, share = pickle.loads(data)
-        tables = {}
-        for n, (rows, packed) in parts.items():
-            tables[n] = np.frombuffer(zlib.decompress(packed), np.int32).reshape(rows, CELLS[n]).astype(np.float32)
-        return cls(tables, share)
-
-    @staticmethod
-    def fit(grams: DataFrame, share: float) -> bytes:
-        """A packed model from (gram, toxic, ordinary): every order's counts, hashed and summed on the cluster.
-
-        The driver holds one order's table at a time; most of a table is zeros and small
-        counts, so the packed ones are short.
-        """
-        grams = grams.where("toxic + ordinary > 0")
-        is_word = F.col("gram").startswith(_WORD)
-        every = grams.select(F.when(is_word, 0).otherwise(ORDER).alias("n"), "gram", "toxic", "ordinary")
-        level = every.where("n > 0")
-        below = level
-        for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct longer grams that end so
-            below = below.groupBy(F.expr(f"right(gram, {n})").alias("gram")).agg(F.count(F.lit(1)).alias("toxic"))
-            below = below.select(F.lit(n).alias("n"), "gram", "toxic", F.lit(0).cast("bigint").alias("ordinary"))
-            every = every.unionByName(below)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ns = batch.column(0).to_numpy()
-                for n in np.unique(ns):
-                    at = np.flatnonzero(ns == n)
-                    texts = [batch.column(1)[int(i)].as_py() for i in at]
-                    a, b = (batch.column(k).to_numpy()[at] for k in (2, 3))
-                    if n:
-                        points = _points(texts, int(n))
-                        hashed = cells(points, int(n)), cells(points[:, :-1], int(n))
-                    else:
-                        hashed = word_cells([t[1:] for t in texts])
-                    for context, own in enumerate(hashed):
-                        where, back = np.unique(own, return_inverse=True)
-                        add = lambda x, size=len(where), back=back: np.bincount(back, x, size).astype(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(where), 2 * n + context, np.int32)),
-                                pa.array(where),
-                                pa.array(add(a)),
-                                pa.array(add(b)),
-                                pa.array(add((a > 0).astype(float))),
-                                pa.array(add((b > 0).astype(float))),
-                            ],
-                            names=["kind", "cell", "a", "b", "ta", "tb"],
-                        )
-
-        hashed = arrow_map(every, run, "kind int, cell bigint, a bigint, b bigint, ta bigint, tb bigint")
-        summed = hashed.groupBy("kind", F.col("cell").cast("int").alias("cell")).agg(
-            *(F.least(F.sum(c), F.lit(2**31 - 1)).cast("int").alias(c) for c in ("a", "b", "ta", "tb"))
-        )
-        summed, at = durable(summed)
-        parts = {}
-        for n in range(ORDER + 1):
-            # Rows of counts, context sums and context types; lower orders don't tell the classes apart.
-            # Words have two rows of counts under each of two hashes.
-            places = {0: ("a", "b"), 1: ("a", "b") if n == 0 else ("a", "b", "ta", "tb")}
-            if 0 < n < ORDER:
-                places = {0: ("a",), 1: ("a", "ta")}
-            got = summed.where(F.col("kind").isin(2 * n, 2 * n + 1)).toArrow()
-            kind, cell = got["kind"].to_numpy(), got["cell"].to_numpy()
-            table = np.zeros((sum(map(len, places.values())), CELLS[n]), np.int32)
-            for context, columns in places.items():
-                own = kind == 2 * n + context
-                for k, c in enumerate(columns):
-                    table[context * len(places[0]) + k, cell[own]] = got[c].to_numpy()[own]
-            del got, kind, cell
-            parts[n] = len(table), zlib.compress(table, 1)
-        drop_table(grams.sparkSession, at)
-        return pickle.dumps((parts, share), 5)
-
-    def evidence(self, raw: list[str]) -> np.ndarray:
-        """Two rows: the evidence of each word, and that of its letters."""
-        words = [w.strip(_TRIM) for w in raw]
-        return np.stack([self.of_words(words), np.minimum(self.of_letters(words), _CLIP)])
-
-    def of_words(self, words: list[str]) -> np.ndarray:
-        table, (one, two) = self.tables[0], word_cells(words)
-        toxic = np.minimum(table[0, one], table[2, two]).astype(float)
-        ordinary = np.minimum(table[1, one], table[3, two]).astype(float)
-        spare = np.minimum(toxic, DISCOUNT) + np.minimum(ordinary, DISCOUNT)
-        share = self.share
-        p = (np.maximum(toxic - DISCOUNT, 0) + spare * share) / share
-        q = (np.maximum(ordinary - DISCOUNT, 0) + spare * (1 - share)) / (1 - share)
-        return np.where(toxic + ordinary > 0, np.log(np.maximum(p, 1e-9)) - np.log(np.maximum(q, 1e-9)), 0.0)
-
-    def of_letters(self, words: list[str]) -> np.ndarray:
-        padded = [_letters(w) for w in words]
-        sizes = np.array([len(s) - ORDER + 1 for s in padded])
-        points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
-        starts = np.concatenate([[0], np.cumsum(sizes + ORDER - 1)[:-1]])
-        ends = np.repeat(starts + ORDER - 1, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        rows = points[ends[:, None] + np.arange(-ORDER + 1, 1)]
-        p = np.full(len(rows), 1e-4)
-        for n in range(1, ORDER):
-            table = self.tables[n]
-            gram, context = cells(rows[:, -n:], n), cells(rows[:, -n:-1], n)
-            p = _step(table[0, gram], table[1, context], table[2, context], p)
-        table = self.tables[ORDER]
-        gram, context = cells(rows, ORDER), cells(rows[:, :-1], ORDER)
-        toxic, ordinary = (_step(table[k, gram], table[2 + k, context], table[4 + k, context], p) for k in (0, 1))
-        return np.add.reduceat(np.log(toxic) - np.log(ordinary), np.cumsum(sizes) - sizes)
-
-
-def _step(count: np.ndarray, total: np.ndarray, types: np.ndarray, lower: np.ndarray) -> np.ndarray:
+def word_key(word: str) -> int:
+    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """The different words of ``docs`` (text), trimmed: word, key, and n, the texts each stands in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            own: Counter = Counter()
+            for word, n in seen.items():
+                own[word.strip(_TRIM)] += n
+            seen.clear()
+            columns = [pa.array(list(own), pa.string()), pa.array(map(word_key, own), pa.int64()), pa.array(list(own.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["word", "key", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(set(words_of(text.as_py())))
+                if len(seen) > _WORDS:
+                    yield out()
+        yield out()
+
+    part = arrow_map(docs.select("text"), run, "word string, key bigint, n bigint")
+    return part.groupBy("word", "key").agg(F.sum("n").alias("n"))
+
+
+def spelled(words: DataFrame) -> DataFrame:
+    """The letter n-grams of ``words`` (word, key): key and gram, as often as it stands there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, grams = [], []
+            for word, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                s = _letters(word)
+                grams += [s[i : i + ORDER] for i in range(len(s) - ORDER + 1)]
+                keys += [key] * (len(s) - ORDER + 1)
+                if len(grams) > _GRAMS:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.string())], names=["key", "gram"])
+                    keys, grams = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.string())], names=["key", "gram"])
+
+    return arrow_map(words.select("word", "key"), run, "key bigint, gram string")
+
+
+def _step(count: Column, total: Column, types: Column, lower: Column) -> Column:
     """One interpolation of Kneser-Ney; contexts never seen take the lower order whole."""
-    total = total.astype(float)
-    some = np.maximum(total, 1)
-    got = np.maximum(count - DISCOUNT, 0) / some + DISCOUNT * types / some * lower
-    return np.where(total > 0, np.clip(got, 1e-12, 1), lower)
+    got = F.greatest(F.coalesce(count, F.lit(0)) - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * types / total * lower
+    return F.when(total > 0, F.greatest(F.lit(1e-12), F.least(F.lit(1.0), got))).otherwise(lower)
+
+
+def _letter_evidence(grams: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Key and letter evidence y0, y1 of ``words`` under both models, and the tables that it reads.
+
+    ``grams`` has the counts a0, b0 (toxic and ordinary, of the first model) and a1, b1.
+    Each order's probabilities are joined together for the n-grams that ``words`` have.
+    """
+    paths = []
+
+    def kept(df: DataFrame) -> DataFrame:
+        df, at = durable(df)
+        paths.append(at)
+        return broadcast_if_small(df, at)
+
+    end = lambda n: F.expr(f"right(gram, {n})").alias("gram")
+    some = lambda c: F.sum((c > 0).cast("bigint"))
+    levels, asked = {ORDER: grams}, {ORDER: kept(spelled(words).select("gram").distinct())}
+    for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct longer grams that end so
+        seen = [F.col(f"a{m}") + (F.col(f"b{m}") if n + 1 == ORDER else 0) for m in (0, 1)]
+        levels[n] = kept(levels[n + 1].groupBy(end(n)).agg(*(some(c).alias(f"a{m}") for m, c in enumerate(seen))))
+        asked[n] = kept(asked[n + 1].select(end(n)).distinct())
+    lower = None
+    for n in range(1, ORDER + 1):
+        counts = [c for c in levels[n].columns if c != "gram"]
+        start = lambda: F.expr(f"left(gram, {n - 1})")  # noqa: B023, E731
+        context = levels[n].groupBy(start().alias("context")).agg(
+            *(F.sum(c).alias(f"s{c}") for c in counts), *(some(F.col(c)).alias(f"t{c}") for c in counts)
+        )
+        rows = asked[n].join(levels[n], "gram", "left").withColumn("context", start()).join(context, "context", "left")
+        if lower is None:
+            rows = rows.withColumns({"p0": F.lit(1e-4), "p1": F.lit(1e-4)})
+        else:
+            rows = rows.withColumn("ending", end(n - 1)).join(lower.withColumnRenamed("gram", "ending"), "ending")
+        p = {c: _step(F.col(c), F.col(f"s{c}"), F.col(f"t{c}"), F.col(f"p{c[1]}")) for c in counts}
+        own = [p[f"a{m}"] if n < ORDER else F.log(p[f"a{m}"]) - F.log(p[f"b{m}"]) for m in (0, 1)]
+        lower = kept(rows.select("gram", own[0].alias("p0"), own[1].alias("p1")))
+    return spelled(words).join(lower, "gram").groupBy("key").agg(*(F.sum(f"p{m}").alias(f"y{m}") for m in (0, 1))), paths
+
+
+def evidence_table(grams: DataFrame, words: DataFrame, shares: tuple[float, float]) -> tuple[DataFrame, str]:
+    """``words`` with the evidence x0, x1 of each and that of its letters y0, y1, as a durable table.
+
+    ``grams`` are ``gram_counts``; the first model (x0, y0) knows the sides 0 and 1 only.
+    ``shares`` are the models' shares of toxic documents.
+    """
+    counts = {"a0": F.col("c0"), "b0": F.col("c1"), "a1": F.col("c0") + F.col("c2"), "b1": F.col("c1") + F.col("c3")}
+    both = grams.select("gram", *(c.alias(k) for k, c in counts.items()))
+    is_word = F.col("gram").startswith(_WORD)
+    letters, paths = _letter_evidence(both.where(~is_word), words)
+    known = both.where(is_word).withColumn("word", F.expr("substring(gram, 2)")).drop("gram")
+    x = []
+    for m, share in enumerate(shares):
+        toxic, ordinary = (F.coalesce(f"{c}{m}", F.lit(0)) for c in "ab")
+        spare = F.least(toxic, F.lit(DISCOUNT)) + F.least(ordinary, F.lit(DISCOUNT))
+        p = (F.greatest(toxic - DISCOUNT, F.lit(0.0)) + spare * share) / share
+        q = (F.greatest(ordinary - DISCOUNT, F.lit(0.0)) + spare * (1 - share)) / (1 - share)
+        of_word = F.log(F.greatest(p, F.lit(1e-9))) - F.log(F.greatest(q, F.lit(1e-9)))
+        x += [F.when(toxic + ordinary > 0, of_word).otherwise(0.0).cast("float").alias(f"x{m}")]
+        x += [F.least(f"y{m}", F.lit(_CLIP)).cast("float").alias(f"y{m}")]
+    out, at = durable(words.join(known, "word", "left").join(letters, "key").select("key", "n", *x))
+    drop_table(words.sparkSession, *paths)
+    return out, at
+
+
+class Evidence:
+    """The evidence of the words whose keys are held, as complex numbers: of the word and of its letters."""
+
+    def __init__(self, table: pa.Table):
+        order = np.argsort(table["key"].to_numpy())
+        self.keys = table["key"].to_numpy()[order]
+        self.values = np.empty(len(order), np.complex64)
+        self.values.real, self.values.imag = (table[c].to_numpy()[order] for c in ("x", "y"))
+
+    def of(self, raw: list[str]) -> list[complex | None]:
+        """The evidence of each word, None for one that is not held."""
+        keys = np.array([word_key(w.strip(_TRIM)) for w in raw], np.int64)
+        if not len(self.keys):
+            return [None] * len(raw)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return [v if ok else None for v, ok in zip(self.values[at].tolist(), (self.keys[at] == keys).tolist(), strict=True)]
+
+
+def _common_above(table: DataFrame) -> int:
+    """Words that stand in more texts than this are held by all workers: at most ``HELD_WORDS``."""
+    of = F.least("n", F.lit(_COMMON)).alias("n")
+    total = 0
+    for r in sorted(table.groupBy(of).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        total += r["words"]
+        if total > HELD_WORDS:
+            return r["n"]
+    return 0
 
 
 def measures(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -270,29 +271,76 @@ def measures(x: np.ndarray, y: np.ndarray) -> list[float]:
     return [*out, float(np.log1p(clear)), clear / n]
 
 
-def _measured(docs: DataFrame, model, keep: list[str]) -> DataFrame:
-    """Add the array ``m`` of measures; ``model`` is a broadcast variable."""
+MEASURED = T.StructField("m", T.ArrayType(T.DoubleType(), False))
 
+
+def _measured(docs: DataFrame, table: DataFrame, m: int, above: int, keep: list[str]) -> tuple[DataFrame, object]:
+    """Add the array ``m`` of measures under the model ``m``, and return the broadcast variable too.
+
+    ``table`` is what ``evidence_table`` returns; its words in more than ``above`` texts are
+    held by all workers, the others joined.
+    """
+    own = table.select("key", "n", F.col(f"x{m}").alias("x"), F.col(f"y{m}").alias("y"))
+    common = docs.sparkSession.sparkContext.broadcast(Evidence(own.where(F.col("n") > above).drop("n").toArrow()))
     name = uuid.uuid4().hex
 
-    def make():
+    def remembered(texts: list) -> tuple[list[list[str]], dict]:
         # The worker's memory of this model's words outlives a task.
-        own, known = held(name, lambda: (Model.unpacked(model.value), {}))
+        known = held(name, dict)
+        lists = [words_of(t) for t in texts]
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list({w for ws in lists for w in ws if w not in known})
+        for lo in range(0, len(new), 10_000):
+            part = new[lo : lo + 10_000]
+            known.update(zip(part, common.value.of(part), strict=True))
+        return lists, known
+
+    if not above:
 
-        def work(texts: list) -> list:
-            lists = [words_of(t) for t in texts]
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list({w for ws in lists for w in ws if w not in known})
-            for lo in range(0, len(new), 10_000):
-                part = new[lo : lo + 10_000]
-                known.update(zip(part, map(complex, *own.evidence(part).tolist()), strict=True))
-            rows = [np.fromiter(map(known.__getitem__, ws), complex, len(ws)) for ws in lists]
-            return [[measures(z.real, z.imag) for z in rows]]
+        def make():
+            def work(texts: list) -> list:
+                lists, known = remembered(texts)
+                rows = [np.fromiter(map(known.__getitem__, ws), complex, len(ws)) for ws in lists]
+                return [[measures(z.real, z.imag) for z in rows]]
 
-        return work
+            return work
+
+        return map_text(docs, "text", [MEASURED], make, keep=keep), common
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, known = remembered(batch.column(1).to_pylist())
+            found = [list({word_key(w.strip(_TRIM)) for w in ws if known[w] is None}) for ws in lists]
+            digests = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            keys = pa.array([k for f in found for k in f], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(digests)), keys], names=["digest", "key"])
+
+    # Texts are told by digest, so copies are looked up once.
+    texts = docs.select(F.md5("text").alias("digest"), "text").where("text is not null")
+    wanted = arrow_map(texts, rare_words, "digest string, key bigint").distinct()
+    found = wanted.join(own.where(F.col("n") <= above), "key").groupBy("digest")
+    found = found.agg(F.collect_list(F.struct("key", "x", "y")).alias("rare"))
+    held_row = F.struct(*keep) if keep else F.lit(None)
+    rows = docs.select(held_row.alias("row"), "text", F.md5("text").alias("digest")).join(found, "digest", "left").select("row", "text", "rare")
+    schema = T.StructType([*(docs.schema[c] for c in keep), MEASURED])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            lists, known = remembered(batch.column(1).to_pylist())
+            out = []
+            for ws, rare in zip(lists, batch.column(2), strict=True):
+                more = {r["key"]: complex(r["x"], r["y"]) for r in rare.as_py() or ()}
+                own = {w: more[word_key(w.strip(_TRIM))] if known[w] is None else known[w] for w in set(ws)}
+                z = np.fromiter(map(own.__getitem__, ws), complex, len(ws))
+                out.append(measures(z.real, z.imag))
+            left = batch.column(0).flatten() if keep else []
+            yield pa.RecordBatch.from_arrays([*left, pa.array(out, arrow.field(len(keep)).type)], schema=arrow)
 
-    return map_text(docs, "text", [T.StructField("m", T.ArrayType(T.DoubleType(), False))], make, keep=keep)
+    return arrow_map(rows, score, schema), common
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -334,26 +382,31 @@ def score_toxicity(
     n, t = (sum(x) for x in zip(*totals.values(), strict=True)) if totals else (0, 0)
     share = t / n if n else 0.0
     least = lambda n, t: min(max(t / max(n, 1), 1e-3), 1 - 1e-3)
-    weights, model = None, None
+    weights, table, table_at = None, None, None
     if 0 < share < 1:
-        first = spark.sparkContext.broadcast(Model.fit(grams.select("gram", F.col("c0").alias("toxic"), F.col("c1").alias("ordinary")), least(*totals.get(0, (0, 0)))))
+        words, words_at = durable(vocabulary(docs))
+        table, table_at = evidence_table(grams, words, (least(*totals.get(0, (0, 0))), least(n, t)))
+        above = _common_above(table)
+        drop_table(spark, words_at)
         sample = rows.where("fold = 1").select("doc_id", "toxic", "text")
         ids = marks.where(fold == 1).orderBy(F.xxhash64("doc_id", F.lit(1))).limit(CALIBRATION_ROWS).select("doc_id")
         sample = sample.join(F.broadcast(ids), "doc_id", "left_semi")
-        got = _measured(sample, first, ["toxic"]).toArrow()
+        measured, first = _measured(sample, table, 0, above, ["toxic"])
+        got = measured.toArrow()
         first.destroy()
         y = got["toxic"].to_numpy().astype(float)
         if len(y) and 0 < y.mean() < 1:
             weights = logistic_fit(np.array(got["m"].to_pylist()), y)
-            model = spark.sparkContext.broadcast(
-                Model.fit(grams.select("gram", F.expr("c0 + c2").alias("toxic"), F.expr("c1 + c3").alias("ordinary")), least(n, t))
-            )
     drop_table(spark, at, grams_at)
-    if model is None:
+    if weights is None:
+        if table_at:
+            drop_table(spark, table_at)
         return docs.select(*keep).withColumn(score_col, F.lit(float(share)))
     kept = [c for c in keep if c not in ("m", score_col)]
     z = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
         z = z + F.lit(float(w)) * F.col("m")[i]
-    scored = _measured(docs, model, kept)
+    scored, _ = _measured(docs, table, 1, above, kept)
+    if not above:  # workers hold all words
+        drop_table(spark, table_at)
     return scored.select(*kept, (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).alias(score_col))
