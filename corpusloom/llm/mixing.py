@@ -10,7 +10,9 @@ each source has had its share within less than one block, and every row comes ou
 
 Releases and deadlines are computed in whole numbers for the whole run (a block stands
 for ``block_rows`` rows): weights that are not whole are multiples of 2^-48 of the largest
-one.  The schedule is a table of source, block and slot, written in pieces and joined.
+one.  The schedule is a table of source, block and slot, written in pieces and joined.  The
+driver gets a number of rows for each source, never the names, and there may be any
+number of sources.
 
 A row's rank in its source is exact: rows are bucketed by hash so that no bucket of a hot
 source is large, buckets are counted and summed up, and rows are numbered inside theirs.
@@ -36,13 +38,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, durable, shared_folder
+from .common import broadcast_if_small, drop_table, durable, shared_folder
 
 BLOCK_ROWS = 64
 #: Bits of a weight that is not whole; slots of the schedule written at once.
 WEIGHT_BITS, PIECE = 48, 1 << 18
-#: Rows of a source numbered together, on average; and the most sources a mixture may have.
-BUCKET_ROWS, MAX_SOURCES = 4096, 1000
+#: Rows of a source numbered together, on average.
+BUCKET_ROWS = 4096
 
 PLAN = T.StructType([T.StructField("__owner", T.LongType()), T.StructField("__turn", T.LongType()), T.StructField("__slot", T.LongType())])
 
@@ -129,6 +131,18 @@ def temperature_weights(rows: dict, alpha: float = 0.5) -> dict:
     return {s: float(n) ** alpha for s, n in rows.items()}
 
 
+def numbered(sources: DataFrame) -> tuple[DataFrame, str]:
+    """``sources`` with ``__place``, from 0 in the order of ``__s``, as a durable table: ranges are counted and numbered apart."""
+    ranges, at = durable(sources.repartitionByRange("__s").withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))  # as many rows as partitions
+    starts = starts.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("__s")) - 1 + F.col("__start")
+    out, path = durable(ranges.join(F.broadcast(starts), "__range").withColumn("__place", place.cast("bigint")).drop("__range", "__start"))
+    drop_table(sources.sparkSession, at)
+    return out, path
+
+
 def mix(
     docs: DataFrame,
     weights: dict | None = None,
@@ -145,23 +159,25 @@ def mix(
     """
     spark = docs.sparkSession
     source = F.col(source_col)
-    counted = docs.groupBy(source.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(counted) > MAX_SOURCES:
-        raise ValueError(f"a mixture takes at most {MAX_SOURCES} sources")
-    rows = {r["s"]: r["n"] for r in counted}
-    own = temperature_weights(rows, alpha) if weights is None else {s: weights.get(s, default) for s in rows}
-    names = _by_name(rows)
-    plan, plan_at = plan_table(spark, [ceil(rows[s] / block_rows) for s in names], whole_weights([own[s] for s in names]))
     kind = docs.schema[source_col].dataType
-    by_source = spark.createDataFrame(
-        [(s, max(1, ceil(rows[s] / BUCKET_ROWS)), k) for k, s in enumerate(names)],
-        T.StructType([T.StructField("__s", kind), T.StructField("__buckets", T.IntegerType()), T.StructField("__place", T.LongType())]),
-    )
+    sources, sources_at = numbered(docs.groupBy(source.alias("__s")).agg(F.count(F.lit(1)).alias("__rows")))
+    asked = sources.select("__place", "__rows")
+    if weights is not None:
+        given = [(s, float(w)) for s, w in weights.items()]
+        given = spark.createDataFrame(given, T.StructType([T.StructField("__of", kind), T.StructField("__weight", T.DoubleType())]))
+        asked = sources.join(given, F.col("__s").eqNullSafe(F.col("__of")), "left")
+        asked = asked.select("__place", "__rows", F.coalesce("__weight", F.lit(float(default))).alias("__weight"))
+    got = asked.toArrow().sort_by("__place")
+    rows = got["__rows"].to_pylist()
+    own = list(temperature_weights(dict(enumerate(rows)), alpha).values()) if weights is None else got["__weight"].to_pylist()
+    plan, plan_at = plan_table(spark, [ceil(n / block_rows) for n in rows], whole_weights(own))
+    buckets = F.ceil(F.col("__rows") / BUCKET_ROWS).cast("int").alias("__buckets")
+    by_source = broadcast_if_small(sources, sources_at).select("__s", buckets, "__place")
     same = source.eqNullSafe(F.col("__s"))
     taken = [c for c in docs.columns if c not in ("block", "slot", "in_block")]
     dealt = (
         docs.select(*taken)
-        .join(F.broadcast(by_source), same)
+        .join(by_source, same)
         .drop("__s")
         .withColumn("__h", F.xxhash64(F.col(id_col), F.lit(42)))
         .withColumn("__bucket", F.floor((F.col("__h") / F.lit(2.0**64) + 0.5) * F.col("__buckets")).cast("int"))

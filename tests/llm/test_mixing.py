@@ -37,3 +37,14 @@ def test_plan_in_pieces(spark, monkeypatch):
     got = sorted(tuple(r) for r in mixing.plan_table(spark, blocks, weights)[0].collect())
     plan = mixing.schedule(dict(enumerate(blocks)), dict(enumerate(weights)))
     assert got == sorted((s, i, t) for s, phases in plan.items() for i, t in enumerate(phases[0][4]))
+
+
+def test_more_sources_than_a_thousand(spark):
+    """Every row comes out once, equal sources in the order of their names."""
+    docs = spark.range(2400).selectExpr("id AS doc_id", "if(id % 1200 = 7, null, format_string('h%04d', id % 1200)) AS source")
+    out = mixing.mix(docs).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(2400))
+    owner = {r["slot"]: r["source"] for r in out}
+    assert sorted(owner) == list(range(1200))
+    names = [owner[t] for t in range(1200)]
+    assert names == [None, *sorted(names[1:])]
