@@ -20,9 +20,11 @@ BROADCAST_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where none is configured (tests)."""
+    """The folder all executors share; one of this machine only where none is set and all runs here (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="corpusloom")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -83,10 +85,15 @@ def drop_table(spark: SparkSession, *paths: str) -> None:
 
 
 def durable(df: DataFrame) -> tuple[DataFrame, str]:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The table is deleted by ``drop_table`` or at the end of the session.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/corpusloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where, fs = _filesystem(spark, path)
+    fs.deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -26,7 +26,6 @@ columns give way to them.
 from __future__ import annotations
 
 import heapq
-import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import islice
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, drop_table, durable, shared_folder
+from .common import broadcast_if_small, drop_table, durable
 
 BLOCK_ROWS = 64
 #: Bits of a weight that is not whole; slots of the schedule written at once.
@@ -110,8 +109,7 @@ def schedule(blocks: dict, weights: dict) -> dict:
 
 def plan_table(spark: SparkSession, blocks: list[int], weights: list[int]) -> tuple[DataFrame, str]:
     """The schedule as a durable table: ``__owner`` (the source's place), ``__turn`` (its block) and ``__slot``."""
-    path = f"{shared_folder(spark)}/corpusloom-{uuid.uuid4().hex}"
-    spark.createDataFrame([], PLAN).write.parquet(path)
+    _, path = durable(spark.createDataFrame([], PLAN))
     owners, base, turn = deal(blocks, weights), 0, np.zeros(len(blocks), np.int64)
     while len(owner := np.fromiter(islice(owners, PIECE), np.int64)):
         # Blocks are numbered in their source: by place inside its run of the sorted piece.

@@ -118,14 +118,60 @@ def brute_components(texts, n, percent):
     return [find(i) for i in range(len(texts))], [len(s) for s in sets]
 
 
-@pytest.mark.parametrize("n", [4, 5])
-def test_minhash(spark, n, monkeypatch):
+def linked_as_brute(spark, texts, n, percent):
+    out = minhash.near_duplicates(spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string"), words=n, percent=percent)
+    expected, sizes = brute_components(texts, n, percent)
+    rows = out.orderBy("doc_id").collect()
+    assert [r["n_shingles"] for r in rows] == sizes
+    assert [r["component_id"] for r in rows] == expected
+    assert [r["kept"] for r in rows] == [i == c for i, c in enumerate(expected)]
+    return expected
+
+
+@pytest.mark.parametrize(("n", "percent"), [(4, 80), (5, 80), (3, 50), (4, 70), (4, 90)])
+def test_minhash(spark, n, percent, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 4)
-    texts = near_texts(random.Random(n))
-    out = minhash.near_duplicates(spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string"), words=n).orderBy("doc_id").collect()
-    expected, sizes = brute_components(texts, n, 80)
-    assert [r["n_shingles"] for r in out] == sizes
-    assert [r["component_id"] for r in out] == expected
+    linked_as_brute(spark, near_texts(random.Random(n)), n, percent)
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_minhash_centre_without_links(spark, block, monkeypatch):
+    """The smallest member shares buckets with all and matches nobody; the others hang together in chains."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join([*base[:52], *(f"c{i}" for i in range(13))])]
+    for i in range(60):
+        own = list(base)
+        for _ in range(i % 4):
+            own[rng.randrange(20, 60)] = f"x{rng.randrange(30)}"
+        texts.append(" ".join([*own, *(f"t{i}-{k}" for k in range(i % 9))]))
+    assert len(set(linked_as_brute(spark, texts, 1, 80))) > 1
+
+
+def test_set_links():
+    rng = np.random.default_rng(4)
+    for percent in (30, 45, 60):
+        sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(40)]
+        found = minhash.set_links(sets, list(range(40)), percent)
+        root, own = list(range(40)), list(range(40))
+        for x in range(40):
+            for y in range(x):
+                both = len(np.intersect1d(sets[x], sets[y]))
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    root = [root[y] if r == root[x] else r for r in root]
+        for x, y in found:
+            own = [own[x] if r == own[y] else r for r in own]
+        assert [root.index(r) for r in root] == [own.index(r) for r in own]
+        assert len(found) == 40 - len(set(own))
+
+
+def test_bands():
+    for percent in (20, 50, 80, 95, 100):
+        bands, rows = minhash.bands_for(percent)
+        assert (1 - (min(percent, 99) / 100) ** rows) ** bands <= minhash.MISS * 1.001 and bands * rows <= minhash.HASHES
+    with pytest.raises(ValueError, match="minima"):
+        minhash.bands_for(3)
 
 
 def test_components(spark):
