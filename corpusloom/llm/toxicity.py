@@ -1,29 +1,34 @@
-"""Toxicity from class-conditional Kneser-Ney models of words and of their letters.
-
-Two pairs of models are learned from toxic and from ordinary labelled documents:
-
-* words: in how many documents of its class a word stands.  An absolute discount is
-  taken from each class's count, and the discounted mass goes back through the counts
-  that both classes share, so rare words say little and unseen ones nothing;
-* letters inside words: interpolated Kneser-Ney of order ``ORDER``.  The highest order
-  is counted in each class; all lower orders are continuation counts shared by both.
-
-A word's evidence is the difference of its two log-likelihoods.  A document is measured
-by that difference at several lengths, each divided by its length: the whole document,
-its best window of ``WINDOW`` words, its strongest one and three words; and by the share
-of clear words.  A logistic curve, fitted on labelled rows that the counts had not seen,
+"""Toxicity from class-conditional Kneser-Ney models, compared by length-normalised likelihood.
+
+Two models are learned, one from toxic and one from ordinary labelled documents.  Both are
+chains of backoff whose lower part they share:
+
+* words: in how many documents of its class a word stands.  An absolute discount is taken
+  from each class's count, and the discounted mass goes back through the counts that both
+  classes share, so rare words say little;
+* letters: how that mass is dealt to the classes, and all that is said of unseen words, is
+  told by interpolated Kneser-Ney of order ``ORDER`` over the letters of the word.  Its
+  highest order is counted in each class; the lower ones are continuation counts that both
+  classes share.
+
+A word's evidence is the difference of its two log-likelihoods.  A document is measured by
+that difference divided by the length, over the whole of it and over its best window of
+each length in ``WINDOWS`` (one word: its strongest expression); a text shorter than a
+window is one.  A logistic curve, fitted on labelled rows that the counts had not seen,
 turns these into a probability.
 
 Counts are gathered from every labelled training row and kept exactly, in tables that grow
-with the labels.  The evidence of each different word of the documents is computed by
-joins with these tables.  Workers hold the evidence of the commonest words (all of them
-where there are at most ``HELD_WORDS``), by 64-bit keys; that of rarer ones is joined to
-the documents that have them.
+with the labels.  Workers hold the commonest entries of these tables (all where there are
+at most ``HELD``), by 64-bit keys; rarer ones are joined to the documents whose words ask
+for them.
 
 Defined results: null and empty texts have no words and get the score of all-zero
 measures; with no usable labels of either class every score is the share of toxic labels
-(0 without any); repeated document rows are scored each; of repeated labels the
-largest counts; null labels are ignored; an empty table gives an empty table.
+(0 without any); where one of the two folds of labels has only one class, the
+curve has fixed weights (that of the share, and the best window's whole difference);
+repeated document rows are scored each; of repeated labels the largest counts; null labels
+are ignored; texts and words of any length are read whole, a batch of rows at a time; of
+input columns named as the score, the score stays; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,35 +36,37 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, broadcast_if_small, drop_table, durable, held, map_text
+from .common import arrow_map, broadcast_if_small, drop_table, durable, held, map_text, text_slices, union_all
 
-ORDER, WINDOW = 5, 8
-#: Evidence of a clear word, and the number of measures.
-CLEAR, MEASURES = 2.5, 10
+ORDER = 5
+#: Lengths in words of the windows whose best one measures a document, beside its whole.
+WINDOWS = (1,)
 #: Fixed discount of the Kneser-Ney counts.
 DISCOUNT = 0.75
 #: Labelled rows, at most, that the logistic curve is fitted on.
 CALIBRATION_ROWS = 20_000
-#: Words whose evidence a worker remembers.
+#: Words, and letter n-grams, whose evidence a worker remembers.
 REMEMBERED = 300_000
-#: The commonest words that all workers hold, at most: 16 bytes each.  The rest is joined.
-HELD_WORDS = 1 << 22
-#: Counts of texts above this are not told apart when the commonest words are chosen.
+#: The commonest table entries that all workers hold, at most: 16 bytes each.  The rest is joined.
+HELD = 1 << 22
+#: Counts of an entry above this are not told apart when the commonest are chosen.
 _COMMON = 10_000
-#: Flush sizes of a task's counters.
-_WORDS, _GRAMS = 100_000, 250_000
+#: Words of a task's counters at which it gives them out.
+_WORDS = 100_000
 _TRIM = ".,;:!?\"'()[]{}«»“”„…"
-_PAD, _STOP, _WORD = "\x02", "\x03", "\x01"
-#: Evidence of letters beyond this says no more.
-_CLIP = 6.0
+_PAD, _STOP = "\x02", "\x03"
+#: First letters of the keys of words and of contexts: no n-gram of ``ORDER`` letters starts so.
+_WORD, _CONTEXT = "\x01", "\x04"
+#: Letters say no more than this of a word.
+_CLIP = 3.0
 
 
 def words_of(text: str | None) -> list[str]:
@@ -70,257 +77,264 @@ def _letters(word: str) -> str:
     return _PAD * (ORDER - 1) + word + _STOP
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
-    """Words and letter n-grams of ``rows`` (text, side): gram and its counts c0 to c3 by ``side`` 0 to 3.
-
-    A document counts a word once.  Words are told from n-grams by a first letter that no
-    word has.  Counts are summed in each task before the shuffle.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = [Counter() for _ in range(4)]
-        grams: dict[str, list[int]] = {}
-
-        def settle() -> None:
-            for side, counter in enumerate(words):
-                for word, n in counter.items():
-                    s = _letters(word)
-                    for g in (_WORD + word, *(s[i : i + ORDER] for i in range(len(s) - ORDER + 1))):
-                        if g not in grams:
-                            grams[g] = [0, 0, 0, 0]
-                        grams[g][side] += n
-                counter.clear()
-
-        def out() -> pa.RecordBatch:
-            columns = [pa.array(list(grams), pa.string())]
-            columns += [pa.array([v[k] for v in grams.values()], pa.int64()) for k in range(4)]
-            grams.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["gram", "c0", "c1", "c2", "c3"])
-
-        for batch in batches:
-            for text, side in zip(batch.column(0), batch.column(1), strict=True):
-                words[side.as_py()].update({w.strip(_TRIM) for w in words_of(text.as_py())})
-                if sum(map(len, words)) > _WORDS:
-                    settle()
-                    if len(grams) > _GRAMS:
-                        yield out()
-        settle()
-        yield out()
-
-    part = arrow_map(rows.select("text", F.col("side").cast("int").alias("side")), run, "gram string, c0 bigint, c1 bigint, c2 bigint, c3 bigint")
-    return part.groupBy("gram").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(4)))
+def grams_of(word: str) -> list[str]:
+    s = _letters(word)
+    return [s[i : i + ORDER] for i in range(len(s) - ORDER + 1)]
 
 
-def word_key(word: str) -> int:
-    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def key_of(entry: str) -> int:
+    """The 64-bit key of a table entry, the same as Spark's ``xxhash64``."""
+    got = xxhash.xxh64_intdigest(entry.encode("utf-8", "replace"), 42)
+    return got - (1 << 64) if got >> 63 else got
 
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """The different words of ``docs`` (text), trimmed: word, key, and n, the texts each stands in."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """Words of ``rows`` (text, side): word and its counts c0 to c3 by ``side`` 0 to 3; a document counts a word once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        counts = [Counter() for _ in range(4)]
 
         def out() -> pa.RecordBatch:
-            own: Counter = Counter()
-            for word, n in seen.items():
-                own[word.strip(_TRIM)] += n
-            seen.clear()
-            columns = [pa.array(list(own), pa.string()), pa.array(map(word_key, own), pa.int64()), pa.array(list(own.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["word", "key", "n"])
+            words = list(set().union(*counts))
+            columns = [pa.array([w.encode("utf-8", "replace").decode() for w in words], pa.string())]
+            columns += [pa.array([c[w] for w in words], pa.int64()) for c in counts]
+            for c in counts:
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["word", "c0", "c1", "c2", "c3"])
 
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(set(words_of(text.as_py())))
-                if len(seen) > _WORDS:
+            for text, side in zip(batch.column(0), batch.column(1), strict=True):
+                counts[side.as_py()].update({w.strip(_TRIM) for w in set(words_of(text.as_py()))})
+                if sum(map(len, counts)) > _WORDS:
                     yield out()
         yield out()
 
-    part = arrow_map(docs.select("text"), run, "word string, key bigint, n bigint")
-    return part.groupBy("word", "key").agg(F.sum("n").alias("n"))
+    part = arrow_map(rows.select("text", F.col("side").cast("int").alias("side")), run, "word string, c0 bigint, c1 bigint, c2 bigint, c3 bigint")
+    return part.groupBy("word").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(4)))
 
 
-def spelled(words: DataFrame) -> DataFrame:
-    """The letter n-grams of ``words`` (word, key): key and gram, as often as it stands there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, grams = [], []
-            for word, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = _letters(word)
-                grams += [s[i : i + ORDER] for i in range(len(s) - ORDER + 1)]
-                keys += [key] * (len(s) - ORDER + 1)
-                if len(grams) > _GRAMS:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.string())], names=["key", "gram"])
-                    keys, grams = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.string())], names=["key", "gram"])
-
-    return arrow_map(words.select("word", "key"), run, "key bigint, gram string")
+def models(words: DataFrame) -> DataFrame:
+    """``words`` of ``word_counts`` as counts of two models: a0, b0 (toxic and ordinary) of the sides 0 and 1, a1, b1 of all."""
+    c = {"a0": F.col("c0"), "b0": F.col("c1"), "a1": F.col("c0") + F.col("c2"), "b1": F.col("c1") + F.col("c3")}
+    return words.select("word", *(v.alias(k) for k, v in c.items()))
 
 
 def _step(count: Column, total: Column, types: Column, lower: Column) -> Column:
     """One interpolation of Kneser-Ney; contexts never seen take the lower order whole."""
-    got = F.greatest(F.coalesce(count, F.lit(0)) - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * types / total * lower
+    got = F.greatest(count - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * types / total * lower
     return F.when(total > 0, F.greatest(F.lit(1e-12), F.least(F.lit(1.0), got))).otherwise(lower)
 
 
-def _letter_evidence(grams: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Key and letter evidence y0, y1 of ``words`` under both models, and the tables that it reads.
+def letter_tables(words: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The difference of log-likelihoods f0, f1 of n-grams (gram, n) and of unseen ones by their context (context, n), and tables to drop.
 
-    ``grams`` has the counts a0, b0 (toxic and ordinary, of the first model) and a1, b1.
-    Each order's probabilities are joined together for the n-grams that ``words`` have.
+    The lower orders are shared, so an unseen n-gram's difference is that of its context's
+    backoff weights.
     """
-    paths = []
+    paths, counts = [], ["a0", "b0", "a1", "b1"]
 
     def kept(df: DataFrame) -> DataFrame:
         df, at = durable(df)
         paths.append(at)
-        return broadcast_if_small(df, at)
+        return df
 
+    padded = F.concat(F.lit(_PAD * (ORDER - 1)), "word", F.lit(_STOP))
+    spelled = words.select(padded.alias("s"), *counts).select(
+        F.explode(F.expr(f"transform(sequence(1, length(s) - {ORDER - 1}), i -> substring(s, i, {ORDER}))")).alias("gram"), *counts
+    )
     end = lambda n: F.expr(f"right(gram, {n})").alias("gram")
+    start = lambda n: F.expr(f"left(gram, {n - 1})").alias("context")
     some = lambda c: F.sum((c > 0).cast("bigint"))
-    levels, asked = {ORDER: grams}, {ORDER: kept(spelled(words).select("gram").distinct())}
-    for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct longer grams that end so
+    levels = {ORDER: kept(spelled.groupBy("gram").agg(*(F.sum(c).alias(c) for c in counts)))}
+    for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct longer n-grams that end so
         seen = [F.col(f"a{m}") + (F.col(f"b{m}") if n + 1 == ORDER else 0) for m in (0, 1)]
         levels[n] = kept(levels[n + 1].groupBy(end(n)).agg(*(some(c).alias(f"a{m}") for m, c in enumerate(seen))))
-        asked[n] = kept(asked[n + 1].select(end(n)).distinct())
     lower = None
     for n in range(1, ORDER + 1):
-        counts = [c for c in levels[n].columns if c != "gram"]
-        start = lambda: F.expr(f"left(gram, {n - 1})")  # noqa: B023, E731
-        context = levels[n].groupBy(start().alias("context")).agg(
-            *(F.sum(c).alias(f"s{c}") for c in counts), *(some(F.col(c)).alias(f"t{c}") for c in counts)
-        )
-        rows = asked[n].join(levels[n], "gram", "left").withColumn("context", start()).join(context, "context", "left")
+        own = [c for c in levels[n].columns if c != "gram"]
+        sums = [F.sum(c).alias(f"s{c}") for c in own] + [some(F.col(c)).alias(f"t{c}") for c in own]
+        context = levels[n].groupBy(start(n)).agg(*sums)
+        rows = levels[n].withColumn("context", start(n)).join(context, "context")
         if lower is None:
             rows = rows.withColumns({"p0": F.lit(1e-4), "p1": F.lit(1e-4)})
         else:
-            rows = rows.withColumn("ending", end(n - 1)).join(lower.withColumnRenamed("gram", "ending"), "ending")
-        p = {c: _step(F.col(c), F.col(f"s{c}"), F.col(f"t{c}"), F.col(f"p{c[1]}")) for c in counts}
-        own = [p[f"a{m}"] if n < ORDER else F.log(p[f"a{m}"]) - F.log(p[f"b{m}"]) for m in (0, 1)]
-        lower = kept(rows.select("gram", own[0].alias("p0"), own[1].alias("p1")))
-    return spelled(words).join(lower, "gram").groupBy("key").agg(*(F.sum(f"p{m}").alias(f"y{m}") for m in (0, 1))), paths
+            rows = rows.withColumn("ending", F.expr(f"right(gram, {n - 1})")).join(lower.withColumnRenamed("gram", "ending"), "ending")
+        p = {c: _step(F.col(c), F.col(f"s{c}"), F.col(f"t{c}"), F.col(f"p{c[1]}")) for c in own}
+        if n < ORDER:
+            lower = kept(rows.select("gram", *(p[f"a{m}"].alias(f"p{m}") for m in (0, 1))))
+    f = [(F.log(p[f"a{m}"]) - F.log(p[f"b{m}"])).alias(f"f{m}") for m in (0, 1)]
+    back = {c: F.when(F.col(f"s{c}") > 0, F.log(DISCOUNT * F.col(f"t{c}") / F.col(f"s{c}"))).otherwise(0.0) for c in counts}
+    u = [(back[f"a{m}"] - back[f"b{m}"]).alias(f"f{m}") for m in (0, 1)]
+    return rows.select("gram", (F.col("a1") + F.col("b1")).alias("n"), *f), context.select("context", (F.col("sa1") + F.col("sb1")).alias("n"), *u), paths
 
 
-def evidence_table(grams: DataFrame, words: DataFrame, shares: tuple[float, float]) -> tuple[DataFrame, str]:
-    """``words`` with the evidence x0, x1 of each and that of its letters y0, y1, as a durable table.
+def entry_table(words: DataFrame) -> tuple[DataFrame, str]:
+    """Everything that scores read, as a durable table: key, n (how common), and f, g of both models.
 
-    ``grams`` are ``gram_counts``; the first model (x0, y0) knows the sides 0 and 1 only.
-    ``shares`` are the models' shares of toxic documents.
+    Of a word, f and g are its toxic and its ordinary count; of an n-gram or a context, f is
+    the difference of log-likelihoods.
     """
-    counts = {"a0": F.col("c0"), "b0": F.col("c1"), "a1": F.col("c0") + F.col("c2"), "b1": F.col("c1") + F.col("c3")}
-    both = grams.select("gram", *(c.alias(k) for k, c in counts.items()))
-    is_word = F.col("gram").startswith(_WORD)
-    letters, paths = _letter_evidence(both.where(~is_word), words)
-    known = both.where(is_word).withColumn("word", F.expr("substring(gram, 2)")).drop("gram")
-    x = []
-    for m, share in enumerate(shares):
-        toxic, ordinary = (F.coalesce(f"{c}{m}", F.lit(0)) for c in "ab")
-        spare = F.least(toxic, F.lit(DISCOUNT)) + F.least(ordinary, F.lit(DISCOUNT))
-        p = (F.greatest(toxic - DISCOUNT, F.lit(0.0)) + spare * share) / share
-        q = (F.greatest(ordinary - DISCOUNT, F.lit(0.0)) + spare * (1 - share)) / (1 - share)
-        of_word = F.log(F.greatest(p, F.lit(1e-9))) - F.log(F.greatest(q, F.lit(1e-9)))
-        x += [F.when(toxic + ordinary > 0, of_word).otherwise(0.0).cast("float").alias(f"x{m}")]
-        x += [F.least(f"y{m}", F.lit(_CLIP)).cast("float").alias(f"y{m}")]
-    out, at = durable(words.join(known, "word", "left").join(letters, "key").select("key", "n", *x))
+    words = models(words)
+    grams, contexts, paths = letter_tables(words)
+    none = [F.lit(0.0).alias(f"g{m}") for m in (0, 1)]
+    out = union_all([
+        words.select(F.xxhash64(F.concat(F.lit(_WORD), "word")).alias("key"), (F.col("a1") + F.col("b1")).alias("n"), F.col("a0").alias("f0"), F.col("a1").alias("f1"), F.col("b0").alias("g0"), F.col("b1").alias("g1")),
+        grams.select(F.xxhash64("gram").alias("key"), "n", "f0", "f1", *none),
+        contexts.select(F.xxhash64(F.concat(F.lit(_CONTEXT), "context")).alias("key"), "n", "f0", "f1", *none),
+    ])
+    table, at = durable(out.select("key", "n", *(F.col(c).cast("float").alias(c) for c in ("f0", "f1", "g0", "g1"))))
     drop_table(words.sparkSession, *paths)
-    return out, at
+    return table, at
 
 
-class Evidence:
-    """The evidence of the words whose keys are held, as complex numbers: of the word and of its letters."""
+def _common_above(table: DataFrame) -> int:
+    """Entries commoner than this are held by all workers: at most ``HELD`` (0: all are)."""
+    of = F.least("n", F.lit(_COMMON)).alias("n")
+    total = 0
+    for r in sorted(table.groupBy(of).agg(F.count(F.lit(1)).alias("entries")).collect(), reverse=True):
+        total += r["entries"]
+        if total > HELD:
+            return r["n"]
+    return 0
 
-    def __init__(self, table: pa.Table):
+
+def evidence(toxic, ordinary, letters, share: float) -> np.ndarray:
+    """The difference of log-likelihoods of words: their counts, what their letters say, the share of toxic documents."""
+    toxic, ordinary = np.asarray(toxic, float), np.asarray(ordinary, float)
+    odds = share / (1 - share) * np.exp(np.clip(letters, -_CLIP, _CLIP))
+    part = odds / (1 + odds)
+    spare = np.where(toxic + ordinary > 0, np.minimum(toxic, DISCOUNT) + np.minimum(ordinary, DISCOUNT), DISCOUNT)
+    p = (np.maximum(toxic - DISCOUNT, 0) + spare * part) / share
+    q = (np.maximum(ordinary - DISCOUNT, 0) + spare * (1 - part)) / (1 - share)
+    return np.log(p) - np.log(q)
+
+
+class Entries:
+    """The table entries that workers hold, for one model."""
+
+    def __init__(self, table: pa.Table, all_held: bool, share: float):
         order = np.argsort(table["key"].to_numpy())
         self.keys = table["key"].to_numpy()[order]
-        self.values = np.empty(len(order), np.complex64)
-        self.values.real, self.values.imag = (table[c].to_numpy()[order] for c in ("x", "y"))
+        self.f, self.g = (table[c].to_numpy()[order] for c in ("f", "g"))
+        self.all_held, self.share = all_held, share
 
-    def of(self, raw: list[str]) -> list[complex | None]:
-        """The evidence of each word, None for one that is not held."""
-        keys = np.array([word_key(w.strip(_TRIM)) for w in raw], np.int64)
+    def find(self, entries: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """f and g of each entry (0 where it isn't held), and whether it is held."""
+        keys = np.fromiter(map(key_of, entries), np.int64, len(entries))
         if not len(self.keys):
-            return [None] * len(raw)
+            return np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), bool)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return [v if ok else None for v, ok in zip(self.values[at].tolist(), (self.keys[at] == keys).tolist(), strict=True)]
+        known = self.keys[at] == keys
+        return np.where(known, self.f[at], 0).astype(float), np.where(known, self.g[at], 0).astype(float), known
 
 
-def _common_above(table: DataFrame) -> int:
-    """Words that stand in more texts than this are held by all workers: at most ``HELD_WORDS``."""
-    of = F.least("n", F.lit(_COMMON)).alias("n")
-    total = 0
-    for r in sorted(table.groupBy(of).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
-        total += r["words"]
-        if total > HELD_WORDS:
-            return r["n"]
-    return 0
+class Reader:
+    """What a worker knows of words; NaN stands for what only the joined entries can tell."""
 
+    def __init__(self, entries: Entries):
+        self.entries, self.words, self.grams = entries, {}, {}
 
-def measures(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Length-normalised evidence of a document from its words' evidence ``x`` and their letters' ``y``."""
-    n = len(x)
+    def learn(self, lists: list[list[str]]) -> dict[str, float]:
+        """The evidence of each word of ``lists``."""
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.grams) > REMEMBERED:
+            self.grams.clear()
+        new = [w for w in set().union(*lists) if w not in self.words]
+        for lo in range(0, len(new), 10_000):
+            part = new[lo : lo + 10_000]
+            self.words.update(zip(part, self._evidence(part).tolist(), strict=True))
+        return self.words
+
+    def _evidence(self, raw: list[str]) -> np.ndarray:
+        words = [w.strip(_TRIM) for w in raw]
+        toxic, ordinary, known = self.entries.find([_WORD + w for w in words])
+        grams = [grams_of(w) for w in words]
+        value = self.grams
+        if new := list({g for gs in grams for g in gs if g not in value}):
+            f, _, seen = self.entries.find(new)
+            unseen = self.entries.find([_CONTEXT + g[:-1] for g in new])[0] if self.entries.all_held else np.nan
+            value.update(zip(new, np.where(seen, f, unseen).tolist(), strict=True))
+        letters = np.array([sum(map(value.__getitem__, gs)) for gs in grams])
+        if not self.entries.all_held:
+            letters[~known] = np.nan
+        return evidence(toxic, ordinary, letters, self.entries.share)
+
+    def missing(self, word: str) -> list[int]:
+        """The keys of the entries that a word asks for and that aren't held."""
+        word = word.strip(_TRIM)
+        asked = {_WORD + word}
+        for g in grams_of(word):
+            asked |= {g, _CONTEXT + g[:-1]}
+        asked = list(asked)
+        _, _, known = self.entries.find(asked)
+        return [key_of(a) for a, k in zip(asked, known.tolist(), strict=True) if not k]
+
+    def settled(self, word: str, joined: dict[int, tuple[float, float]]) -> float:
+        """The evidence of a word from the held and the joined entries."""
+        word, grams = word.strip(_TRIM), grams_of(word.strip(_TRIM))
+
+        def of(entries: list[str]) -> list[tuple[float, float] | None]:
+            f, g, known = self.entries.find(entries)
+            held_ones = zip(f.tolist(), g.tolist(), known.tolist(), strict=True)
+            return [(a, b) if k else joined.get(key_of(e)) for e, (a, b, k) in zip(entries, held_ones, strict=True)]
+
+        letters = sum((own or back or (0.0, 0.0))[0] for own, back in zip(of(grams), of([_CONTEXT + g[:-1] for g in grams]), strict=True))
+        toxic, ordinary = of([_WORD + word])[0] or (0.0, 0.0)
+        return float(evidence(toxic, ordinary, letters, self.entries.share))
+
+
+def measures(z: np.ndarray, windows: tuple[int, ...] = WINDOWS) -> list[float]:
+    """Length-normalised evidence of a document from its words' evidence: of the whole, and of its best windows."""
+    n = len(z)
     if not n:
-        return [0.0] * MEASURES
-    out = []
-    for z in (x, y):
-        run = np.concatenate([[0.0], np.cumsum(z)])
-        w = min(WINDOW, n)
-        top = z if n <= 3 else np.partition(z, n - 3)[-3:]
-        out += [float(z.mean()), float((run[w:] - run[:-w]).max() / w), float(z.max()), float(top.sum() / 3)]
-    clear = int((x > CLEAR).sum())
-    return [*out, float(np.log1p(clear)), clear / n]
+        return [0.0] * (1 + len(windows))
+    run = np.concatenate([[0.0], np.cumsum(z)])
+    return [float(run[-1] / n), *(float((run[w:] - run[:-w]).max() / w) for w in (min(w, n) for w in windows))]
 
 
-MEASURED = T.StructField("m", T.ArrayType(T.DoubleType(), False))
+MEASURED = T.StructField("__measures", T.ArrayType(T.DoubleType(), False))
 
 
-def _measured(docs: DataFrame, table: DataFrame, m: int, above: int, keep: list[str]) -> tuple[DataFrame, object]:
-    """Add the array ``m`` of measures under the model ``m``, and return the broadcast variable too.
+def _measured(docs: DataFrame, table: DataFrame, m: int, share: float, above: int, keep: list[str]) -> tuple[DataFrame, object]:
+    """Add the array of measures under the model ``m``, and return the broadcast variable too.
 
-    ``table`` is what ``evidence_table`` returns; its words in more than ``above`` texts are
-    held by all workers, the others joined.
+    ``table`` is what ``entry_table`` returns; entries commoner than ``above`` are held by all
+    workers, the others joined.
     """
-    own = table.select("key", "n", F.col(f"x{m}").alias("x"), F.col(f"y{m}").alias("y"))
-    common = docs.sparkSession.sparkContext.broadcast(Evidence(own.where(F.col("n") > above).drop("n").toArrow()))
+    own = table.select("key", "n", F.col(f"f{m}").alias("f"), F.col(f"g{m}").alias("g"))
+    common = docs.sparkSession.sparkContext.broadcast(Entries(own.where(F.col("n") > above).drop("n").toArrow(), not above, share))
     name = uuid.uuid4().hex
-
-    def remembered(texts: list) -> tuple[list[list[str]], dict]:
-        # The worker's memory of this model's words outlives a task.
-        known = held(name, dict)
-        lists = [words_of(t) for t in texts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({w for ws in lists for w in ws if w not in known})
-        for lo in range(0, len(new), 10_000):
-            part = new[lo : lo + 10_000]
-            known.update(zip(part, common.value.of(part), strict=True))
-        return lists, known
+    # A worker's memory of this model's words outlives a task.
+    reader = lambda: held(name, lambda: Reader(common.value))
 
     if not above:
 
         def make():
             def work(texts: list) -> list:
-                lists, known = remembered(texts)
-                rows = [np.fromiter(map(known.__getitem__, ws), complex, len(ws)) for ws in lists]
-                return [[measures(z.real, z.imag) for z in rows]]
+                lists = [words_of(t) for t in texts]
+                known = reader().learn(lists)
+                return [[measures(np.fromiter(map(known.__getitem__, ws), float, len(ws))) for ws in lists]]
 
             return work
 
         return map_text(docs, "text", [MEASURED], make, keep=keep), common
 
-    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, known = remembered(batch.column(1).to_pylist())
-            found = [list({word_key(w.strip(_TRIM)) for w in ws if known[w] is None}) for ws in lists]
-            digests = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            keys = pa.array([k for f in found for k in f], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(digests)), keys], names=["digest", "key"])
+            for lo, hi in text_slices(batch.column(1), 1 << 20):
+                lists = [words_of(t) for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                known = reader().learn(lists)
+                found = [list({k for w in set(ws) if known[w] != known[w] for k in reader().missing(w)}) for ws in lists]
+                digests = np.repeat(np.arange(lo, hi), [len(f) for f in found])
+                keys = pa.array([k for f in found for k in f], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(digests)), keys], names=["digest", "key"])
 
     # Texts are told by digest, so copies are looked up once.
     texts = docs.select(F.md5("text").alias("digest"), "text").where("text is not null")
-    wanted = arrow_map(texts, rare_words, "digest string, key bigint").distinct()
+    wanted = arrow_map(texts, asked, "digest string, key bigint").distinct()
     found = wanted.join(own.where(F.col("n") <= above), "key").groupBy("digest")
-    found = found.agg(F.collect_list(F.struct("key", "x", "y")).alias("rare"))
+    found = found.agg(F.collect_list(F.struct("key", "f", "g")).alias("rare"))
     held_row = F.struct(*keep) if keep else F.lit(None)
     rows = docs.select(held_row.alias("row"), "text", F.md5("text").alias("digest")).join(found, "digest", "left").select("row", "text", "rare")
     schema = T.StructType([*(docs.schema[c] for c in keep), MEASURED])
@@ -330,15 +344,16 @@ def _measured(docs: DataFrame, table: DataFrame, m: int, above: int, keep: list[
 
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            lists, known = remembered(batch.column(1).to_pylist())
-            out = []
-            for ws, rare in zip(lists, batch.column(2), strict=True):
-                more = {r["key"]: complex(r["x"], r["y"]) for r in rare.as_py() or ()}
-                own = {w: more[word_key(w.strip(_TRIM))] if known[w] is None else known[w] for w in set(ws)}
-                z = np.fromiter(map(own.__getitem__, ws), complex, len(ws))
-                out.append(measures(z.real, z.imag))
-            left = batch.column(0).flatten() if keep else []
-            yield pa.RecordBatch.from_arrays([*left, pa.array(out, arrow.field(len(keep)).type)], schema=arrow)
+            for lo, hi in text_slices(batch.column(1), 1 << 20):
+                part = batch.slice(lo, hi - lo)
+                lists = [words_of(t) for t in part.column(1).to_pylist()]
+                known, out = reader().learn(lists), []
+                for ws, rare in zip(lists, part.column(2), strict=True):
+                    joined = {r["key"]: (r["f"], r["g"]) for r in rare.as_py() or ()}
+                    own = {w: reader().settled(w, joined) if known[w] != known[w] else known[w] for w in set(ws)}
+                    out.append(measures(np.fromiter(map(own.__getitem__, ws), float, len(ws))))
+                left = part.column(0).flatten() if keep else []
+                yield pa.RecordBatch.from_arrays([*left, pa.array(out, arrow.field(len(keep)).type)], schema=arrow)
 
     return arrow_map(rows, score, schema), common
 
@@ -367,7 +382,7 @@ def score_toxicity(
     labels may be learned from.  ``keep`` are the columns of ``docs`` to return.
     """
     spark = docs.sparkSession
-    keep = keep if keep is not None else docs.columns
+    keep = [c for c in (keep if keep is not None else docs.columns) if c != score_col]
     marks, at = durable(
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & train)
         .groupBy("doc_id")
@@ -375,38 +390,31 @@ def score_toxicity(
     )
     # Two folds by another hash of the id: counts of the first calibrate on the second.
     fold = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0, 1).otherwise(0)
-    rows = docs.select("doc_id", "text").join(broadcast_if_small(marks, at), "doc_id")
-    rows = rows.select("doc_id", "text", "toxic", fold.alias("fold"))
-    grams, grams_at = durable(gram_counts(rows.withColumn("side", F.col("fold") * 2 + (F.col("toxic") == 0).cast("int"))))
     totals = {r["fold"]: (r["n"], r["t"] or 0) for r in marks.groupBy(fold.alias("fold")).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).collect()}
     n, t = (sum(x) for x in zip(*totals.values(), strict=True)) if totals else (0, 0)
-    share = t / n if n else 0.0
-    least = lambda n, t: min(max(t / max(n, 1), 1e-3), 1 - 1e-3)
-    weights, table, table_at = None, None, None
-    if 0 < share < 1:
-        words, words_at = durable(vocabulary(docs))
-        table, table_at = evidence_table(grams, words, (least(*totals.get(0, (0, 0))), least(n, t)))
-        above = _common_above(table)
-        drop_table(spark, words_at)
-        sample = rows.where("fold = 1").select("doc_id", "toxic", "text")
+    if not 0 < t < n:
+        drop_table(spark, at)
+        return docs.select(*keep).withColumn(score_col, F.lit(t / n if n else 0.0))
+    rows = docs.select("doc_id", "text").join(broadcast_if_small(marks, at), "doc_id").withColumn("fold", fold)
+    words, words_at = durable(word_counts(rows.withColumn("side", F.col("fold") * 2 + (F.col("toxic") == 0).cast("int"))))
+    table, table_at = entry_table(words)
+    above = _common_above(table)
+    drop_table(spark, words_at)
+    if len(totals) == 2 and all(0 < t < n for n, t in totals.values()):
         ids = marks.where(fold == 1).orderBy(F.xxhash64("doc_id", F.lit(1))).limit(CALIBRATION_ROWS).select("doc_id")
-        sample = sample.join(F.broadcast(ids), "doc_id", "left_semi")
-        measured, first = _measured(sample, table, 0, above, ["toxic"])
+        sample = rows.where("fold = 1").select("doc_id", "toxic", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+        measured, first = _measured(sample, table, 0, totals[0][1] / totals[0][0], above, ["toxic"])
         got = measured.toArrow()
         first.destroy()
-        y = got["toxic"].to_numpy().astype(float)
-        if len(y) and 0 < y.mean() < 1:
-            weights = logistic_fit(np.array(got["m"].to_pylist()), y)
-    drop_table(spark, at, grams_at)
-    if weights is None:
-        if table_at:
-            drop_table(spark, table_at)
-        return docs.select(*keep).withColumn(score_col, F.lit(float(share)))
-    kept = [c for c in keep if c not in ("m", score_col)]
+        weights = logistic_fit(np.array(got["__measures"].to_pylist()), got["toxic"].to_numpy().astype(float))
+    else:
+        weights = np.array([0.0] * len(WINDOWS) + [float(WINDOWS[-1]), np.log(t / (n - t))])
+    drop_table(spark, at)
     z = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
-        z = z + F.lit(float(w)) * F.col("m")[i]
-    scored, _ = _measured(docs, table, 1, above, kept)
-    if not above:  # workers hold all words
+        z = z + F.lit(float(w)) * F.col("__measures")[i]
+    scored, _ = _measured(docs, table, 1, t / n, above, keep)
+    if not above:  # workers hold all entries
         drop_table(spark, table_at)
-    return scored.select(*kept, (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).alias(score_col))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+    return scored.select(*keep, score.alias(score_col))

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ def texts(n=240):
 
 
 def brute(rows, words, share):
-    """x and y of ``words`` from (text, toxic), with dictionaries."""
+    """The evidence of ``words`` from (text, toxic), with dictionaries."""
     order, d = toxicity.ORDER, toxicity.DISCOUNT
     docs, grams = [Counter(), Counter()], [Counter(), Counter()]
     for text, toxic in rows:
@@ -38,7 +39,7 @@ def brute(rows, words, share):
         inside = [c for h, c in counts.items() if h[:-1] == g[:-1] and c]
         if not inside:
             return lower
-        return min(1, max(1e-12, max(counts[g] - d, 0) / sum(inside) + d * len(inside) / sum(inside) * lower))
+        return max(counts[g] - d, 0) / sum(inside) + d * len(inside) / sum(inside) * lower
 
     out = {}
     for w in words:
@@ -48,39 +49,63 @@ def brute(rows, words, share):
             for n in range(1, order):
                 p = step(level[n], g[-n:], p)
             y += math.log(step(grams[1], g, p)) - math.log(step(grams[0], g, p))
-        a, b, x = docs[1][w], docs[0][w], 0.0
-        if a + b:
-            spare = min(a, d) + min(b, d)
-            x = math.log((max(a - d, 0) + spare * share) / share) - math.log((max(b - d, 0) + spare * (1 - share)) / (1 - share))
-        out[toxicity.word_key(w)] = (x, min(y, toxicity._CLIP))
+        a, b = docs[1][w], docs[0][w]
+        odds = share / (1 - share) * math.exp(max(-toxicity._CLIP, min(toxicity._CLIP, y)))
+        spare = min(a, d) + min(b, d) or d
+        toxic = (max(a - d, 0) + spare * odds / (1 + odds)) / share
+        out[w] = math.log(toxic) - math.log((max(b - d, 0) + spare / (1 + odds)) / (1 - share))
     return out
 
 
-def test_evidence_is_exact(spark):
-    """Counts are those of the word or n-gram itself, never of others that share a cell."""
-    rows = texts()
+def entries(spark, rows, m, share, all_held=True):
     side = F.expr("if(doc_id % 4 = 0, 2, 0) + if(toxic = 1, 0, 1)")
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
-    words = toxicity.vocabulary(docs)
-    got = {r["key"]: r for r in toxicity.evidence_table(toxicity.gram_counts(docs.withColumn("side", side)), words, (0.3, 0.4))[0].collect()}
-    names = [r["word"] for r in words.collect()]
-    assert sorted(names) == sorted({w.strip(toxicity._TRIM) for _, t, _ in rows for w in toxicity.words_of(t)})
-    for m, share in enumerate((0.3, 0.4)):
-        expected = brute([(t, k) for i, t, k in rows if m or i % 4], names, share)
-        for key, (x, y) in expected.items():
-            assert (got[key][f"x{m}"], got[key][f"y{m}"]) == pytest.approx((x, y), rel=1e-5, abs=1e-5)
-
-
-def test_joined_words_score_the_same(spark, monkeypatch):
-    """Whether workers hold a word or it is joined changes no score."""
+    table, _ = toxicity.entry_table(toxicity.word_counts(docs.withColumn("side", side)))
+    return toxicity.Entries(table.select("key", F.col(f"f{m}").alias("f"), F.col(f"g{m}").alias("g")).toArrow(), all_held, share)
+
+
+@pytest.mark.parametrize(("m", "share"), [(0, 0.3), (1, 0.4)])
+def test_evidence_is_exact(spark, m, share):
+    """Words and n-grams seen in both, in one or in none of the classes, against dictionaries."""
+    rows = texts()
+    words = {w.strip(toxicity._TRIM) for _, t, _ in rows for w in toxicity.words_of(t)} | {"vilest", "zzz", "abcabc", "漢漢漢漢漢漢"}
+    reader = toxicity.Reader(entries(spark, rows, m, share))
+    got = reader.learn([sorted(words)])
+    expected = brute([(t, k) for i, t, k in rows if m or i % 4], words, share)
+    assert {w: got[w] for w in words} == pytest.approx(expected, rel=1e-4, abs=1e-4)
+    assert {w: reader.settled(w, {}) for w in words} == pytest.approx(expected, rel=1e-4, abs=1e-4)
+
+
+def test_keys(spark):
+    words = ["", "a", "é漢😀", "x" * 100]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()
+    assert [r[0] for r in got] == [toxicity.key_of(w) for w in words]
+
+
+def test_joined_entries_score_the_same(spark, monkeypatch):
+    """Whether workers hold an entry or it is joined changes no score."""
     rows = texts() + [(5, "again " * 3, 0), (6, texts()[0][1], 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     labels = docs.where("doc_id % 5 > 0").select("doc_id", "toxic")
     run = lambda: sorted((r["doc_id"], r["score"]) for r in toxicity.score_toxicity(docs.drop("toxic"), labels, F.lit(True)).collect())
     held = run()
     assert len({s for _, s in held}) > 100
-    for most in (40, 0):
-        monkeypatch.setattr(toxicity, "HELD_WORDS", most)
+    for most in (200, 0):
+        monkeypatch.setattr(toxicity, "HELD", most)
         got = run()
         assert [i for i, _ in got] == [i for i, _ in held]
-        assert [s for _, s in got] == pytest.approx([s for _, s in held], rel=1e-5)
+        assert [s for _, s in got] == pytest.approx([s for _, s in held], rel=1e-4)
+
+
+def test_one_class_in_a_fold(spark):
+    """With one toxic label the curve can't be fitted, but the model still tells the classes apart."""
+    rows = [(i, "plain words here " + f"w{i % 7}", 0) for i in range(60)] + [(100 + i, "vile vile vile", 1) for i in range(1)]
+    docs = spark.createDataFrame([*rows, (200, "vile vile", 0)], "doc_id bigint, text string, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs.drop("toxic"), docs.where("doc_id < 200"), F.lit(True)).collect()}
+    assert got[200] > 0.3 > max(got[i] for i in range(60))
+
+
+def test_measures():
+    assert toxicity.measures(np.array([])) == [0.0] * (1 + len(toxicity.WINDOWS))
+    z = np.array([0.0, 4.0, 4.0, 0.0, -1.0, 0.0, 0.0, 0.0, 2.0])
+    assert toxicity.measures(z, (4, 8, 16)) == pytest.approx([1.0, 2.0, 9 / 8, 1.0])
