@@ -3,20 +3,25 @@
 Components become integers, floor(scale * x).  The candidates are cut into blocks; each
 block has one list per component, sorted by value.  For a query, component d contributes
 q_d * x_d, so its list is read from the large end when q_d > 0 and from the small end when
-q_d < 0 (not at all when it is 0).  All lists are read down in steps.  What has been read
-of a vector, with the values at the lists' present ends for the rest, bounds its score
-from above, and with their last values from below.  Reading stops when no vector outside
-the few that are left can reach the k-th lower bound; their scores are then resolved.
-
-Blocks meet blocks of queries, so neither side is ever held whole; each pair of blocks
-gives at most k rows a query, and a window limit, applied before the shuffle, keeps k.
+q_d < 0 (not at all when it is 0).  The lists are read in step.  What has been read of a
+vector, with the values at the lists' fronts for the rest, bounds its score from above, and
+with their last values from below.  As long as the fronts together reach the k-th lower
+bound, no vector can be left out, so bounds are first taken where they fall below it; then
+in growing steps, over the vectors that are left only.  Reading stops when a few are left,
+or all lists are read; their scores are then resolved.
+
+The first block gives each query a lower bound of its k-th score, with which all other
+blocks begin: most of a block is then left out at its first bounds.  Queries stream through
+the task that holds a block of candidates; each pair of blocks gives at most k rows a
+query, and a window limit, applied before the shuffle, keeps k.
 
 Defined results: vectors that are null or empty, or hold null or non-finite components,
 take no part; vectors of other lengths than the query are no candidates of it; rows that
-repeat a vec_id are one vector (the smallest in array order); null ids are left out; ties
-go to the smaller vec_id; fewer candidates than k are all returned; an empty table gives
-an empty table.  Components times scale must stay below 2^24 in size, so that scores are
-exact in double precision.
+repeat a vec_id are vectors each, only the query's own row is no candidate, and each query
+row has its own result rows; null ids take no part; ties go to the smaller vec_id; fewer
+candidates than k are all returned; vectors of any length are read whole; input columns
+beside the two named ones only serve ``is_query``, whatever their names; an empty table gives
+an empty table.  Scores must stay below 2^53 in size, so that double precision is exact.
 """
 
 from __future__ import annotations
@@ -28,74 +33,76 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, drop_table, durable
 
-#: Rows of a block of candidates and of a block of queries.
-BLOCK, QUERIES = 8192, 4096
+#: Rows of a block of candidates, and of queries that meet it in one task.
+BLOCK, QUERIES = 8192, 1 << 16
 #: Vectors left over whose scores are resolved outright.
 FEW = 64
-#: How far down the lists are read before bounds are taken; then to their ends.
-STEPS = (0.8, 0.92)
+#: Depths at which the fronts are looked at, as shares of a list; and how much of the unread rest a step reads.
+DEPTHS, GROWTH = 64, 0.3
 
 
 class Lists:
-    """The sorted lists of a block of candidates, kept as each vector's place in every list."""
+    """The sorted lists of a block of candidates, with each vector's place in every list."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, x: np.ndarray):
         by_id = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[by_id], x[by_id]
-        size = len(ids)
+        self.ids, self.copies, self.x = ids[by_id], copies[by_id], x[by_id]
         order = np.argsort(self.x, axis=0, kind="stable")
         self.sorted = np.take_along_axis(self.x, order, 0).T.astype(np.float64)
         place = np.empty_like(order)
-        np.put_along_axis(place, order, np.arange(size)[:, None], 0)
-        self.place = np.ascontiguousarray(place.T.astype(np.int16 if size < 1 << 15 else np.int32))
-        self.most = float(np.abs(self.x).max(initial=0))
-        # Single precision where it is exact for every sum of products.
+        np.put_along_axis(place, order, np.arange(len(ids))[:, None], 0)
+        self.place = np.ascontiguousarray(place.T.astype(np.int32))
         self.columns = np.ascontiguousarray(self.x.T.astype(np.float64))
-        self.narrow = self.columns.astype(np.float32)
-
-    def best(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The k best (vec_id, score) for a query, without its own row; ties to the smaller id."""
-        size = len(self.ids)
-        down, up = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        own = np.searchsorted(self.ids, query_id)
-        own = own if own < size and self.ids[own] == query_id else -1
-        left = None
-        if size - (own >= 0) > max(k, FEW) and len(down) + len(up):
-            left = self._unsettled(q, down, up, own, k)
-        left = np.arange(size) if left is None else left
-        left = left[left != own]
+        #: Rows of the lists that were read, and that they have, over all queries.
+        self.read = self.rows = 0
+
+    def best(self, query_id: int, q: np.ndarray, k: int, least: float = -np.inf) -> list[tuple[int, int]]:
+        """The k best (vec_id, score) of at least ``least`` for a query, without its own row; ties to the smaller id."""
+        lo, hi = np.searchsorted(self.ids, [query_id, query_id + 1])
+        own = lo + np.flatnonzero((self.x[lo:hi] == q).all(1))
+        copies = self.copies
+        if len(own):
+            copies = copies.copy()
+            copies[own[0]] -= 1
+        left = self._reaching(q, np.flatnonzero(copies > 0), k, least)
         score = self.x[left] @ q
-        if len(left) > 4 * FEW:
-            some = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
-            left, score = left[some], score[some]
-        best = np.lexsort((self.ids[left], -score))[:k]
-        return [(int(self.ids[left[b]]), int(score[b])) for b in best]
-
-    def _unsettled(self, q: np.ndarray, down: np.ndarray, up: np.ndarray, own: int, k: int) -> np.ndarray | None:
-        """The vectors that may be among the k best after reading some way down; None if the lists must be read to their ends."""
-        size, used = len(self.ids), np.concatenate([down, up])
-        exact = self.most * float(np.abs(q).max()) * len(used) < 1 << 24
-        columns, kind = (self.narrow, np.float32) if exact else (self.columns, np.float64)
-        weight = q[used].astype(np.float64)
-        last = weight * np.where(weight > 0, self.sorted[used, 0], self.sorted[used, -1])
-        for step in STEPS:
-            to = max(1, int(size * step))
-            seen = np.concatenate([self.place[down] >= size - to, self.place[up] < to])
-            front = weight * np.where(weight > 0, self.sorted[used, size - to], self.sorted[used, to - 1])
-            low = weight.astype(kind) @ (columns[used] * seen)
-            bound = np.stack([front, last]).astype(np.float32) @ seen.astype(np.float32)
-            # A unit of slack each way covers the rounding of the bounds.
-            slack = 1 + 1e-5 * float(np.abs(last).sum() + np.abs(front).sum())
-            high = low + front.sum() - bound[0] + slack
-            under = low + last.sum() - bound[1] - slack
-            if own >= 0:
-                under[own] = high[own] = -np.inf
-            left = np.flatnonzero(high >= np.partition(under, size - k)[size - k])
-            if len(left) <= FEW:
-                return left
-        return None
+        enough = score >= least
+        if enough.sum() > k:
+            enough &= score >= np.partition(score, len(score) - k)[len(score) - k]
+        left, score = left[enough], score[enough]
+        out: list[tuple[int, int]] = []
+        for b in np.lexsort((self.ids[left], -score)):
+            out += [(int(self.ids[left[b]]), int(score[b]))] * int(min(copies[left[b]], k - len(out)))
+            if len(out) == k:
+                break
+        return out
+
+    def _reaching(self, q: np.ndarray, left: np.ndarray, k: int, least: float) -> np.ndarray:
+        """Those of ``left`` that may be among the k best and reach ``least``, when reading stops."""
+        size, used = len(self.ids), np.flatnonzero(q)
+        if not len(used) or len(left) <= max(k, FEW):
+            return left
+        w, down = q[used].astype(np.float64), (q[used] > 0)[:, None]
+        fronts = lambda to: w * np.where(w > 0, self.sorted[used, size - to], self.sorted[used, to - 1])
+        last, to = fronts(size), 0
+        for step in range(1, DEPTHS):
+            to = max(1, size * step // DEPTHS)
+            # Half the lists are read before a block bounds the k-th score by itself.
+            if fronts(to).sum() < least or (least == -np.inf and 2 * step >= DEPTHS):
+                break
+        while to < size and len(left) > max(k, FEW):
+            front, place = fronts(to), self.place[used[:, None], left]
+            seen = np.where(down, place >= size - to, place < to)
+            low = (w[:, None] * self.columns[used[:, None], left] * seen).sum(0)
+            high, under = low + front.sum() - front @ seen, low + last.sum() - last @ seen
+            least = max(least, np.partition(under, len(under) - k)[len(under) - k])
+            left = left[high >= least]
+            self.read += to
+            self.rows += size
+            to += max(1, int((size - to) * GROWTH))
+        return left
 
 
 def top_k(
@@ -104,44 +111,65 @@ def top_k(
     """query_id, rank (from 1), vec_id and score of the ``k`` best vectors for each row for which ``is_query`` holds."""
     v = F.col(vector_col).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = (
+    whole = F.transform(v, lambda x: F.floor(x * scale))
+    own = (
         vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite)
-        .groupBy(F.col(id_col).alias("id"))
-        .agg(F.min(v).alias("v"))
-        .select("id", "v", F.size("v").alias("size"))
+        .select(F.col(id_col).cast("bigint").alias("id"), whole.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+        .groupBy("id", "v")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("asks").cast("bigint")).alias("asks"))
     )
-    asked = rows.withColumnRenamed("id", id_col).where(is_query).withColumnRenamed(id_col, "id")
-    n, n_asked = rows.count(), asked.count()
+    # Rows that share an id are told apart by a 64-bit hash of their vectors.
+    rows, at = durable(own.withColumns({"size": F.size("v"), "mark": F.xxhash64("v")}))
+    n, n_asked = rows.count(), rows.where("asks > 0").count()
     blocks, parts = max(1, -(-n // BLOCK)), max(1, -(-n_asked // QUERIES))
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    candidates = rows.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("q", each(parts))
-    queries = asked.withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int")).withColumn("c", each(blocks))
-    both = candidates.select("size", "c", "q", F.lit(0).alias("kind"), "id", "v").union(
-        queries.select("size", "c", "q", F.lit(1).alias("kind"), "id", "v")
-    )
-    dealt = both.repartition("size", "c", "q").sortWithinPartitions("size", "c", "q", "kind")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, data, lists = None, [], [], None
-        for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for size, c, q, kind, name, vector in zip(*(col.to_pylist() for col in batch.columns), strict=True):
-                if at != (size, c, q):
-                    at, ids, data, lists = (size, c, q), [], [], None
-                x = np.floor(scale * np.array(vector)).astype(np.int64)
-                if kind == 0:
-                    ids.append(name)
-                    data.append(x)
-                    continue
-                if lists is None:
-                    lists = Lists(np.array(ids, np.int64), np.stack(data) if data else np.zeros((0, size), np.int64))
-                    ids, data = [], []
-                for found, score in lists.best(name, x, k):
-                    out[0].append(name)
-                    out[1].append(found)
-                    out[2].append(score)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
-
-    found = arrow_map(dealt, run, "query_id bigint, vec_id bigint, score bigint")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rows = rows.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    asked = rows.where("asks > 0").withColumn("q", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int")).drop("c")
+
+    def searched(candidates: DataFrame, queries: DataFrame) -> DataFrame:
+        """The k best of each block of ``candidates`` for ``queries`` (with c and least)."""
+        sides = [
+            candidates.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumns(
+                {"kind": F.lit(0), "least": F.lit(None).cast("bigint")}
+            ),
+            queries.withColumn("kind", F.lit(1)),
+        ]
+        both = sides[0].unionByName(sides[1], allowMissingColumns=True).select("size", "c", "q", "kind", "id", "v", "n", "mark", "least")
+        dealt = both.repartition("size", "c", "q").sortWithinPartitions("size", "c", "q", "kind")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, ids, copies, data, lists = None, [], [], [], None
+            for batch in batches:
+                out: tuple[list, list, list, list] = ([], [], [], [])
+                for size, c, q, kind, name, vector, n, mark, least in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                    if at != (size, c, q):
+                        at, ids, copies, data, lists = (size, c, q), [], [], [], None
+                    x = np.array(vector, np.int64)
+                    if kind == 0:
+                        ids.append(name)
+                        copies.append(n)
+                        data.append(x)
+                        continue
+                    if lists is None:
+                        lists = Lists(np.array(ids, np.int64), np.array(copies, np.int64), np.stack(data) if data else np.zeros((0, size), np.int64))
+                        ids, copies, data = [], [], []
+                    for found, score in lists.best(name, x, k, -np.inf if least is None else least):
+                        for column, value in zip(out, (name, mark, found, score), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "mark", "vec_id", "score"])
+
+        return arrow_map(dealt, run, "query_id bigint, mark bigint, vec_id bigint, score bigint")
+
+    # The block that a query meets first is block 0, for all queries: what it finds there bounds its k-th score.
+    first, first_at = durable(searched(rows.where("c = 0"), asked.withColumns({"c": F.lit(0), "least": F.lit(None).cast("bigint")})))
+    bound = first.groupBy(F.col("query_id").alias("id"), "mark").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("least"))
+    bound = bound.select("id", "mark", F.when(F.col("found") >= k, F.col("least")).alias("least"))
+    found = first
+    if blocks > 1:
+        others = asked.join(bound, ["id", "mark"], "left").withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(blocks - 1))))
+        found = first.unionByName(searched(rows.where("c > 0"), others.select(*rows.columns, "q", "least")))
+    rank = F.row_number().over(Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id"))
+    ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    copies = asked.select(F.col("id").alias("query_id"), "mark", F.explode(F.sequence(F.lit(1), F.col("asks"))).alias("copy"))
+    out, _ = durable(ranked.join(copies, ["query_id", "mark"]).select("query_id", "rank", "vec_id", "score"))
+    drop_table(vectors.sparkSession, at, first_at)
+    return out
