@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, chat, common, embed, linededup, minhash, mixing, quality, queries, suffix, topk, toxicity
+from corpusloom.llm import bpe, chat, common, embed, linededup, minhash, mixing, quality, queries, suffix, topk
 
 
 @pytest.fixture(scope="module")
@@ -242,22 +242,35 @@ def test_topk(spark, monkeypatch):
         assert got[i] == [(j, score[j]) for j in best]
 
 
-def test_lists_without_pruning():
-    rng = np.random.default_rng(3)
-    x = rng.integers(-200, 200, (5000, 16))
-    lists = topk.Lists(np.arange(5000), x)
-    for i in range(20):
-        score = x @ x[i]
-        best = sorted((j for j in range(5000) if j != i), key=lambda j: (-score[j], j))[:5]
-        assert lists.best(i, x[i], 5) == [(j, score[j]) for j in best]
+def test_topk_rows_that_share_an_id(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.9, 0.0]), (0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.5, 0.0]), (2, [0.1, 0.1])], "vec_id bigint, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") == 0, 4).collect())
+    full, half = [(0, 65536), (1, 65536), (1, 58880), (0, 32768)], [(0, 32768), (0, 32768), (1, 32768), (1, 29440)]
+    expected = [(0, i + 1, *row) for rows in (full, full, half) for i, row in enumerate(rows)]
+    assert got == sorted(expected)
 
 
-def test_embedding_links(spark, monkeypatch):
-    monkeypatch.setattr(embed, "BLOCK", 40)
+@pytest.mark.parametrize("least", [False, True])
+def test_lists_with_and_without_pruning(least):
+    rng = np.random.default_rng(3)
+    centres = rng.integers(-200, 200, (50, 16))
+    for x in (rng.integers(-200, 200, (3000, 16)), centres[rng.integers(0, 50, 3000)] + rng.integers(-9, 9, (3000, 16))):
+        lists = topk.Lists(np.arange(3000), np.ones(3000, np.int64), x)
+        for i in range(20):
+            score = x @ x[i]
+            best = sorted((j for j in range(3000) if j != i), key=lambda j: (-score[j], j))[:5]
+            assert lists.best(i, x[i], 5, score[best[-1]] if least else -np.inf) == [(j, score[j]) for j in best]
+
+
+@pytest.mark.parametrize(("block", "part", "kind"), [(80, (40, 64), "double"), (20_000, (2048, 16_384), "float")])
+def test_embedding_links(spark, monkeypatch, block, part, kind):
+    monkeypatch.setattr(embed, "BLOCK", block)
+    monkeypatch.setattr(embed, "PART", part)
     rng = np.random.default_rng(2)
     base = rng.normal(size=(60, 32))
     x = np.concatenate([base, base[:30] + 0.15 * rng.normal(size=(30, 32)), np.repeat(base[:1], 90, 0) + 0.05 * rng.normal(size=(90, 32)), base[:2]])
-    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], f"vec_id bigint, embedding array<{kind}>, label int")
     got = embed.near_duplicates(df).orderBy("vec_id").collect()
     y = x / np.linalg.norm(x, axis=1)[:, None]
     near = y @ y.T >= 0.9
@@ -268,11 +281,19 @@ def test_embedding_links(spark, monkeypatch):
 
 
 def test_recall_of_calibration():
-    k, orders, half = embed.calibrated(50_000)
-    p = embed.collision_rate(0.9, k, half)
+    """Pairs at the threshold itself: met in a part of some copy, and counted there."""
     rng = np.random.default_rng(0)
-    hits = rng.random((20_000, orders)) < p
-    assert (hits.sum(1) >= embed.COLLISIONS).mean() > 0.99
+    a = rng.normal(size=(1500, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(1)[:, None] * a
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    b = 0.9001 * a + np.sqrt(1 - 0.9001**2) * side
+    for rows in (10_256, 1_000_000, 10**9):
+        signs, copies = embed.parts_for(rows)
+        assert (embed.parts_of(a, signs, copies) == embed.parts_of(b, signs, copies)).any(1).mean() > 0.98
+    found = {(int(s), int(t)) for x, y in embed.colliding(np.concatenate([a, b]), None, 0.9, embed.RECALL) for s, t in zip(x, y, strict=True)}
+    assert np.mean([(i, i + 1500) in found for i in range(1500)]) > 0.98
 
 
 def test_chat_parts(spark):
@@ -323,4 +344,3 @@ def test_models_unit():
     index, value = rows[0]
     pairs = sum(machine.v[index[i]] @ machine.v[index[j]] * value[i] * value[j] for i in range(3) for j in range(i))
     assert machine.raw(index, value) == pytest.approx(machine.w[index] @ value + pairs)
-    assert toxicity.measures(np.array([]), np.array([])) == [0.0] * toxicity.MEASURES
