@@ -13,8 +13,9 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
 3. Corpus order.  For triggers with several entries, the suffix array of the dictionary
    side (read backwards) and that of the parse side, each with its common-prefix lengths,
    are combined: two strings that start l bytes before the trigger are equal when the
-   entries share l bytes in the first order and length - l in the second.  All strings of
-   all entries are settled that way, in bytes, not by hashes.
+   entries share l bytes in the first order and length - l in the second.  Strings of
+   different entries are settled that way, in bytes; that two whole entries are equal is
+   told by two 64-bit hashes, of the trigger and of all bytes on both sides.
 4. The covered runs of each document are joined and cut out.
 
 A task settles entries that repeat inside its own slice of text and passes one of them
@@ -23,8 +24,15 @@ Entries of a trigger with more than ``WIDE`` of them are not held together: thei
 are counted by digest, spread over all tasks.
 
 Defined results: texts are UTF-8 bytes, null is empty; strings don't cross rows; a
-repeated row repeats all its strings; a null doc_id is a document like others; texts
-shorter than ``length`` are kept whole; an empty table gives an empty table.
+repeated row repeats all its strings; a null doc_id is a document like others, and rows
+with equal ids are told apart by 64 bits of their texts; texts shorter than ``length`` are
+kept whole; long texts are hashed in pieces that overlap; input columns beside doc_id and
+text are ignored, whatever their names; an empty table gives an empty table.
+
+Where this departs from the textbook: triggers are the least hashes of a window instead of
+the places whose hash has a given residue, so that phrases are bounded; and neither the
+dictionary nor the parse is sorted as a whole.  Their orders are taken per trigger and only
+to the depth that a string of ``length`` bytes can tell apart, so they can be dealt to tasks.
 """
 
 from __future__ import annotations
@@ -33,11 +41,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, arrow_map, drop_table, durable, table_bytes, text_slices
+from .common import BROADCAST_BYTES, arrow_map, broadcast_if_small, drop_table, durable, table_bytes, text_slices
 
 LENGTH, TRIGGER = 200, 64
 #: Bytes hashed at a time, and the overlap of the pieces of a longer text.
@@ -130,6 +138,10 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, in
         yield group
 
 
+#: The count of a row that its own slice has settled.
+_SETTLED = 3
+
+
 #: A row's place, reach to either side and count in one number.
 def packed(pos, left, right, n):
     return (pos << 20) | (left << 12) | (right << 4) | n
@@ -174,7 +186,7 @@ def _combined(key, entry, row, pos) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _entry_rows(docs: DataFrame, length: int, k: int, slice_bytes: int = 8 << 20) -> DataFrame:
-    """key, entry, doc_id, mark, at (packed) of every trigger.  Rows settled in their slice have a key of their own."""
+    """key, entry, doc_id, mark, at (packed) of every trigger; those that their slice has settled are counted so."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,12 +197,11 @@ def _entry_rows(docs: DataFrame, length: int, k: int, slice_bytes: int = 8 << 20
                 if not len(key):
                     continue
                 goes, count = _combined(key, entry, row, pos)
-                # A settled row needs no partner: any key that spreads it will do.
-                own = np.where(goes, key, entry * np.uint64(_BACK) + (pos.astype(np.uint64) << np.uint64(17)) + row.astype(np.uint64))
+                count[~goes] = _SETTLED
                 pick = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(own.view(np.int64)),
+                        pa.array(key.view(np.int64)),
                         pa.array(entry.view(np.int64)),
                         part.column(0).take(pick),
                         part.column(1).take(pick),
@@ -199,7 +210,7 @@ def _entry_rows(docs: DataFrame, length: int, k: int, slice_bytes: int = 8 << 20
                     names=["key", "entry", "doc_id", "mark", "at"],
                 )
 
-    return arrow_map(docs, run, "key bigint, entry bigint, doc_id bigint, mark int, at bigint")
+    return arrow_map(docs, run, "key bigint, entry bigint, doc_id bigint, mark bigint, at bigint")
 
 
 def orders(texts: list[bytes], group: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,7 +259,7 @@ def _ordered(contexts: DataFrame, length: int, k: int) -> DataFrame:
             most, least = covered(group, [r[5] for r in rows], [r[6] for r in rows], count, length, k)
             good = np.flatnonzero((most >= 0) & (count < 2))
             pos = np.array([r[3] for r in rows])
-            columns = [pa.array([rows[i][c] for i in good], t) for c, t in ((1, pa.int64()), (2, pa.int32()))]
+            columns = [pa.array([rows[i][c] for i in good], t) for c, t in ((1, pa.int64()), (2, pa.int64()))]
             columns += [pa.array(pos[good] - most[good], pa.int64()), pa.array(pos[good] - least[good] + length, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "lo", "hi"])
 
@@ -262,7 +273,7 @@ def _ordered(contexts: DataFrame, length: int, k: int) -> DataFrame:
             yield settle(held)
 
     dealt = contexts.repartition("key").sortWithinPartitions("key")
-    return arrow_map(dealt, run, "doc_id bigint, mark int, lo bigint, hi bigint")
+    return arrow_map(dealt, run, "doc_id bigint, mark bigint, lo bigint, hi bigint")
 
 
 def _counted(contexts: DataFrame, length: int, k: int) -> DataFrame:
@@ -292,7 +303,7 @@ def _contexts(wanted: DataFrame, docs: DataFrame, length: int, k: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("key", pa.int64()), ("doc_id", pa.int64()), ("mark", pa.int32()), ("pos", pa.int64()), ("n", pa.int64())]
+            [("key", pa.int64()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("pos", pa.int64()), ("n", pa.int64())]
             + [("before", pa.binary()), ("after", pa.binary()), ("many", pa.bool_())]
         )
         for batch in batches:
@@ -309,7 +320,7 @@ def _contexts(wanted: DataFrame, docs: DataFrame, length: int, k: int) -> DataFr
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    schema = "key bigint, doc_id bigint, mark int, pos bigint, n bigint, before binary, after binary, many boolean"
+    schema = "key bigint, doc_id bigint, mark bigint, pos bigint, n bigint, before binary, after binary, many boolean"
     return arrow_map(joined.select("doc_id", "mark", "text", "all"), run, schema)
 
 
@@ -324,21 +335,19 @@ def _matching(docs: DataFrame, ids: DataFrame, at: str) -> DataFrame:
 def repeated_runs(docs: DataFrame, length: int = LENGTH, k: int = TRIGGER, wide: int = WIDE) -> DataFrame:
     """doc_id, mark (of the text) and the array ``runs`` of (lo, hi) of repeated bytes, disjoint and in order; only texts with any."""
     spark = docs.sparkSession
-    rows = _entry_rows(docs.select("doc_id", "mark", "text"), length, k)
-    key, entry = Window.partitionBy("key"), Window.partitionBy("key", "entry")
-    n = F.col("at").bitwiseAND(15)
-    seen = (
-        rows.withColumn("n", F.sum(n).over(entry))
-        .withColumn("first", F.row_number().over(entry.orderBy("doc_id", "mark", "at")) == 1)
-        .withColumn("least", F.min("n").over(key))
-        .withColumn("entries", F.sum(F.col("first").cast("int")).over(key))
-    )
-    hits, hits_at = durable(seen.where("n >= 2 or entries > 1"))
+    rows, rows_at = durable(_entry_rows(docs.select("doc_id", "mark", "text"), length, k).withColumn("n", F.col("at").bitwiseAND(15)))
+    # One row of each entry stands for it.  Its columns are taken together, from the same row.
+    first = [F.first(c).alias(c) for c in ("doc_id", "mark", "at")]
+    each, each_at = durable(rows.where(F.col("n") < _SETTLED).groupBy("key", "entry").agg(F.sum("n").alias("n"), *first))
+    several = each.groupBy("key").agg(F.count(F.lit(1)).alias("entries"), F.min("n").alias("least")).where("entries > 1 and least < 2")
+    several, several_at = durable(several.select("key", (F.col("entries") > wide).alias("many")))
+    again, again_at = durable(each.where("n >= 2").select("key", "entry"))
     left, right = F.shiftright("at", 12).bitwiseAND(255), F.shiftright("at", 4).bitwiseAND(255)
     pos = F.shiftright("at", 20)
-    whole = hits.where("n >= 2").select("doc_id", "mark", (pos - left).alias("lo"), (pos + right).alias("hi"))
-    wanted = hits.where("entries > 1 and least < 2 and first").select(
-        "key", "doc_id", "mark", "at", F.least("n", F.lit(2)).alias("n"), (F.col("entries") > wide).alias("many")
+    repeated = rows.where("n >= 2").unionByName(rows.where("n = 1").join(broadcast_if_small(again, again_at), ["key", "entry"], "left_semi"))
+    whole = repeated.select("doc_id", "mark", (pos - left).alias("lo"), (pos + right).alias("hi"))
+    wanted = each.join(broadcast_if_small(several, several_at), "key").select(
+        "key", "doc_id", "mark", "at", F.least("n", F.lit(2)).cast("bigint").alias("n"), "many"
     )
     contexts, contexts_at = durable(_contexts(wanted, docs, length, k))
     rest = ["key", "doc_id", "mark", "pos", "n", "before", "after"]
@@ -347,7 +356,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, k: int = TRIGGER, wide:
     )
     every = whole.unionByName(parts).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("all"))
     runs, _ = durable(every.select("doc_id", "mark", _joined("all").alias("runs")))
-    drop_table(spark, hits_at, contexts_at)
+    drop_table(spark, rows_at, each_at, several_at, again_at, contexts_at)
     return runs
 
 
@@ -371,8 +380,8 @@ def _joined(column: str):
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a mark that tells rows with equal ids apart."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash("text").alias("mark"), "text")
+    """doc_id, text and a mark, 64 bits of the text, that tells rows with equal ids apart."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = TRIGGER, wide: int = WIDE) -> DataFrame:
