@@ -124,7 +124,7 @@ t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
 n AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 c AS (SELECT source, key, count(DISTINCT r) AS n FROM t WHERE key <> '' GROUP BY source, key),
 b AS (SELECT c.source, c.key FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.source
-      WHERE c.n >= 5 AND c.n / n.pages > 0.1),
+      WHERE c.n >= 2 AND c.n / n.pages > 0.1),
 k AS (SELECT t.*, b.key IS NOT NULL AS gone
       FROM t LEFT JOIN b ON t.source IS NOT DISTINCT FROM b.source AND t.key = b.key)
 SELECT doc_id, source, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
