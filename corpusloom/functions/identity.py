@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,3 +85,10 @@ def batch_digest(keys: Column) -> Column:
 def generation_id(*digests: Column) -> Column:
     """The first sixteen digits of each digest, joined by dashes."""
     return F.concat_ws("-", *(F.left(d, F.lit(16)) for d in digests))
+
+
+def article_id_of(article: dict) -> str:
+    """``article_id`` of a plain value, for texts that are read outside of columns."""
+    dates = sorted(f"{d.get('year') or '0000'}-{d.get('month') or 0:02d}-{d.get('day') or 0:02d}" for d in article.get("dates") or [])
+    value = [article.get("title"), dates, bool(article.get("is_range_date")), sorted(article.get("authors") or []), article.get("file_id") or ""]
+    return hashlib.md5(json.dumps(value, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()[:10]
