@@ -60,6 +60,11 @@ def natural_key(c: Column, width: int = 20) -> Column:
     return F.transform(runs, lambda r: F.when(r.rlike(r"\A[0-9]"), padded(r)).otherwise(r))
 
 
+def page_number(path: Column) -> Column:
+    """The number at the end of a page file's name, by which pages are sorted; null without one."""
+    return F.regexp_extract(path, r"-([0-9]+)(?:\.[^./]*)?\z", 1).try_cast("int")
+
+
 def marker_encode(c: Column) -> Column:
     """URL-safe base64 without padding."""
     return F.rtrim(F.translate(F.base64(F.encode(c, "UTF-8")), "+/\r\n", "-_"), F.lit("="))

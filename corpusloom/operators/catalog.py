@@ -106,8 +106,9 @@ def flag_present(records: DataFrame, present: DataFrame, key: Column, present_co
 
 def first_match(left: DataFrame, right: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """Left join to the first of the right rows of each key."""
-    first = Window.partitionBy(*keys).orderBy(order_col)
-    return left.join(right.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n"), keys, "left")
+    rest = [c for c in right.columns if c not in keys]
+    first = right.groupBy(*keys).agg(F.min_by(F.struct(*rest), order_col).alias("__first"))
+    return left.join(first.select(*keys, "__first.*"), keys, "left")
 
 
 def first_page(records: DataFrame, order_col: str, by: list[str] | None = None, page: int = 100) -> DataFrame:

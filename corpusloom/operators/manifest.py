@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.identity import url_suffix
 from ..functions.text import differs
@@ -100,8 +103,8 @@ def drop_outcome(current: Column, upstream: Column) -> Column:
 
 def exactly_one(df: DataFrame, keys: list[str]) -> DataFrame:
     """Add ``matches``, the rows of each key, and ``error`` where it isn't one."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    out = df.withColumn("matches", n)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches"))
+    out = df.join(counts, keys)
     return out.withColumn("error", F.when(F.col("matches") != 1, F.concat(F.col("matches").cast("string"), F.lit(" matches"))))
 
 
@@ -115,9 +118,11 @@ def merge_overrides(articles: DataFrame, overrides: DataFrame, columns: list[str
     new = overrides.select(*key, "new_article_id", *(F.col(c).alias(f"__{c}") for c in columns), F.lit(True).alias("__o"))
     taken = articles.select("publication_id", F.col("article_id").alias("new_article_id"), F.lit(True).alias("__taken")).distinct()
     new = new.join(taken, ["publication_id", "new_article_id"], "left")
-    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    merged = articles.withColumn("__a", F.lit(True)).join(new, key, "full").withColumn("__n", n)
-    moved = F.col("__o").isNotNull() & differs(F.col("new_article_id"), F.col("article_id"))
+    # An override is ambiguous with several articles or several overrides of one id.
+    several = lambda df, name: df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
+    merged = articles.withColumn("__a", F.lit(True)).join(new, key, "full")
+    merged = merged.join(several(articles, "__m"), key, "left").join(several(overrides, "__k"), key, "left").withColumn("__n", F.greatest("__m", "__k"))
+    moved = F.coalesce(F.col("new_article_id") != F.col("article_id"), F.lit(False))
     error = (
         F.when(F.col("__a").isNull(), "article is missing")
         .when(F.col("__o").isNotNull() & (F.col("__n") > 1), "article is ambiguous")
@@ -142,11 +147,15 @@ def page_coverage(sources: DataFrame, articles: DataFrame, on: list[str]) -> Dat
     )
 
 
-def list_diff(old: Column, new: Column) -> Column:
-    """Removed and added items of two lists; repeats and order stay."""
-    return F.struct(
-        F.filter(old, lambda x: ~F.array_contains(new, x)).alias("removed"), F.filter(new, lambda x: ~F.array_contains(old, x)).alias("added")
-    )
+def canonical(value: Column) -> Column:
+    """A JSON text in its canonical form: keys in order, no blanks; other text stays."""
+    return F.coalesce(F.to_json(F.try_parse_json(value)), value)
+
+
+def list_diff(old: Column, new: Column, key: Callable[[Column], Column] = lambda x: x) -> Column:
+    """Removed and added items of two lists, compared by ``key`` (for JSON texts: ``canonical``); repeats and order stay."""
+    lacking = lambda a, b: F.filter(a, lambda x: ~F.array_contains(F.transform(b, key), key(x)))
+    return F.struct(lacking(old, new).alias("removed"), lacking(new, old).alias("added"))
 
 
 def same_set(a: Column, b: Column) -> Column:
@@ -208,6 +217,61 @@ def packed(items: Column, most: int, overhead: int = 30, own: int = 3, last: int
     return F.aggregate(items, zero, step, lambda s: s["out"])
 
 
+def packed_rows(df: DataFrame, by: str, order: str, item: str, most: int, overhead: int = 30, own: int = 3, last: int = 5) -> DataFrame:
+    """``packed`` for sequences of any length: ``batch`` of each row, in one pass over a group's rows as they stream by."""
+    dealt = df.select(by, order, item, F.octet_length(item).alias("__bytes")).repartition(by).sortWithinPartitions(by, order)
+    schema = T.StructType([*(df.schema[c] for c in (by, order, item)), T.StructField("batch", T.IntegerType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, first, batch, total = None, True, 0, 0
+        for frame in frames:
+            batches = []
+            for group, size in zip(frame[by], frame["__bytes"], strict=True):
+                if first or group != at:
+                    at, first, batch, total = group, False, 0, 0
+                elif total + overhead + size + last >= most:
+                    batch, total = batch + 1, 0
+                total += size + own
+                batches.append(batch)
+            yield frame[[by, order, item]].assign(batch=batches)
+
+    return dealt.mapInPandas(run, schema)
+
+
+def trees_equal(generated: DataFrame, current: DataFrame, by: str = "archive_id") -> DataFrame:
+    """For each archive whether both trees (archive_id, path, blob) are the same, so that nothing has to be committed."""
+    both = generated.select(by, "path", F.col("blob").alias("__new"), F.lit(1).alias("__a")).join(
+        current.select(by, "path", F.col("blob").alias("__old"), F.lit(1).alias("__b")), [by, "path"], "full"
+    )
+    same = F.col("__a").isNotNull() & F.col("__b").isNotNull() & F.col("__new").eqNullSafe(F.col("__old"))
+    return both.groupBy(by).agg(F.bool_and(same).alias("unchanged"))
+
+
+def upserted(files: DataFrame, changes: DataFrame) -> DataFrame:
+    """Files (path, content) after changes (path, new_path, content, null: as it is): written, and moved where the key changed.
+
+    ``error`` says what can't be done: nothing stands at the path, or something does at
+    the new one.  Such files stay as they are.
+    """
+    new = changes.select("path", "new_path", F.col("content").alias("__content"))
+    taken = files.select(F.col("path").alias("new_path"), F.lit(True).alias("__taken"))
+    joined = files.withColumn("__there", F.lit(True)).join(new.join(taken, "new_path", "left"), "path", "full")
+    moves = F.coalesce(F.col("new_path") != F.col("path"), F.lit(False))
+    error = F.when(F.col("__there").isNull(), "file is missing").when(moves & F.col("__taken"), "target exists")
+    good = error.isNull()
+    return joined.select(
+        F.when(good, F.coalesce("new_path", "path")).otherwise(F.col("path")).alias("path"),
+        F.when(good, F.coalesce("__content", "content")).otherwise(F.col("content")).alias("content"),
+        F.when(good & moves, F.col("path")).alias("old_path"),
+        error.alias("error"),
+    )
+
+
+def deepest_first(path: Column) -> list[Column]:
+    """Sort columns that put folders before those that hold them."""
+    return [F.size(F.split(path, "/")).desc(), path]
+
+
 def fitting(sections: Column, start: Column, most: int, gap: int = 2) -> Column:
     """Which sections fit a body of ``most`` characters, in order; one that doesn't is passed over and later ones may still fit."""
     zero = F.struct(start.cast("int").alias("size"), F.array().cast("array<boolean>").alias("out"))

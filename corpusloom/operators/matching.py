@@ -35,7 +35,8 @@ def identified(wanted: DataFrame, records: DataFrame, id_col: str, fallback: lis
 def original_ids(current: DataFrame, overrides: DataFrame, most: int = 4) -> DataFrame:
     """Follow overrides (publication_id, article_id, new_article_id) back from current ids to the source's.
 
-    At most ``most`` steps; an id with more than one override is an error.
+    At most ``most`` steps; an id with more than one override is an error, and so is a
+    chain that goes on after the last step.
     """
     step = overrides.groupBy("publication_id", F.col("new_article_id").alias("source_id")).agg(F.min("article_id").alias("__old"), F.count(F.lit(1)).alias("__n"))
     out = current.withColumns({"source_id": F.col("article_id"), "error": F.lit(None).cast("string")})
@@ -43,7 +44,8 @@ def original_ids(current: DataFrame, overrides: DataFrame, most: int = 4) -> Dat
         out = out.join(step, ["publication_id", "source_id"], "left").withColumn("error", F.coalesce("error", F.when(F.col("__n") > 1, "several overrides")))
         known = F.when(F.col("error").isNull(), F.coalesce("__old", "source_id")).otherwise(F.col("source_id"))
         out = out.withColumn("source_id", known).drop("__old", "__n")
-    return out
+    left = out.join(step.drop("__n"), ["publication_id", "source_id"], "left")
+    return left.withColumn("error", F.coalesce("error", F.when(F.col("__old").isNotNull(), "too many steps"))).drop("__old")
 
 
 def copied_patches(patches: DataFrame, overrides: DataFrame) -> DataFrame:

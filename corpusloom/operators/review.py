@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import source_key
@@ -43,9 +43,25 @@ def settle_reverts(found: DataFrame, pulls: DataFrame, published: DataFrame) ->
     return joined.withColumn("kept", kept).drop("__undone", "__of", "__original")
 
 
-def publish_groups(found: DataFrame) -> DataFrame:
-    """Candidates by repository and base, their numbers in order."""
-    return found.groupBy("repo", "base_ref").agg(F.array_sort(F.collect_list("number")).alias("numbers"))
+def publish_groups(found: DataFrame, order: str = "number") -> DataFrame:
+    """Candidates by repository and base, their numbers in order (of ``number``, or of another column such as ``merged_at``)."""
+    placed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col("number").alias("number"))))
+    return found.groupBy("repo", "base_ref").agg(F.transform(placed, lambda x: x["number"]).alias("numbers"))
+
+
+def authorized(actor: Column, allowed: list[str], permission: Column) -> Column:
+    """Whether an actor may decide: one of the allowed, or, where none are named, one whose permission is high enough."""
+    return actor.isin(*allowed) if allowed else F.coalesce(permission.isin("admin", "maintain", "push"), F.lit(False))
+
+
+def compact_conflict(conflict: Column) -> Column:
+    """What is kept of a conflict: its archive, the revisions on both sides, and its articles' paths and ids."""
+    return F.struct(
+        *(conflict[c].alias(c) for c in ("archive_id", "repository", "old_ocr_cache", "new_ocr_cache", "mirror_ocr_patch", "upstream_ocr_patch")),
+        F.transform(
+            F.coalesce(conflict["articles"], F.array()), lambda a: F.struct(*(a[c].alias(c) for c in ("path", "article_id", "publication_id", "doc_id")))
+        ).alias("articles"),
+    )
 
 
 def refreshed_claims(claims: DataFrame, pulls: DataFrame) -> DataFrame:
@@ -145,8 +161,8 @@ def existing_reverts(pulls: DataFrame, numbers: DataFrame) -> DataFrame:
 
 def newest(df: DataFrame, by: list[str], position: str) -> DataFrame:
     """The row of each group that stands first in a listing of newest first."""
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(position))
-    return df.withColumn("__n", place).where("__n = 1").drop("__n")
+    rest = [c for c in df.columns if c not in by]
+    return df.groupBy(*by).agg(F.min_by(F.struct(*rest), position).alias("__first")).select(*by, "__first.*")
 
 
 def section(body: Column, heading: str) -> Column:
@@ -156,8 +172,13 @@ def section(body: Column, heading: str) -> Column:
 
 
 def missing_markers(wanted: DataFrame, existing: DataFrame) -> DataFrame:
-    """Comments (marker, body) whose marker hasn't been posted: appending them twice does nothing."""
-    return wanted.dropDuplicates(["marker"]).join(existing.select("marker"), "marker", "left_anti")
+    """Comments (marker, body and others) whose marker hasn't been posted: appending them twice does nothing.
+
+    Of several with one marker the smallest counts, column by column from the left.
+    """
+    rest = [c for c in wanted.columns if c != "marker"]
+    once = wanted.groupBy("marker").agg(F.min(F.struct(*rest)).alias("__c")).select("marker", "__c.*") if rest else wanted.distinct()
+    return once.join(existing.select("marker"), "marker", "left_anti")
 
 
 def change_summary(parts: Column, comments: Column, description: Column, fields: Column) -> Column:

@@ -6,7 +6,7 @@ order of the lines; it is data, so it comes from the file's own line numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -16,9 +16,20 @@ POINTER_LINES = ("version https://git-lfs", "oid sha256:", "size ")
 
 
 def read_listing(spark: SparkSession, path: str, repo: str) -> DataFrame:
-    """(repo, line_no, line) of a listing file; a listing is one file, read whole so its line order is kept."""
-    text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    return text.select(F.lit(repo).alias("repo"), F.col("line_no").cast("bigint"), "line")
+    """(repo, line_no, line) of a listing file.
+
+    The file is split like any other: lines are numbered inside the blocks that they are read
+    from, and blocks by the lines of those before them (as many rows as blocks).
+    """
+    block = F.struct("_metadata.file_path", "_metadata.file_block_start").alias("block")
+    raw = spark.read.option("lineSep", "\n").text(path).select(block, F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = raw.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    starts = starts.select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("block").orderBy("at"))
+    # One row per block, so the broadcast side is as small as the number of blocks.
+    numbered = raw.withColumn("own", own).join(F.broadcast(starts), "block")
+    return numbered.select(F.lit(repo).alias("repo"), (F.col("start") + F.col("own") - 1).cast("bigint").alias("line_no"), "line")
 
 
 #: A name with something before its last dot: what stands before and after that dot.

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pathlib import PurePosixPath
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,11 @@ def read_archives(spark: SparkSession, path: str, batch: int = 500) -> DataFrame
     return files.mapInPandas(run, "archive string, member_order bigint, path string, content string")
 
 
+def at_depth(path: Column, depth: int, suffix: str) -> Column:
+    """Whether a path has so many parts and this suffix: what a pattern of stars and slashes matches."""
+    return (F.size(F.split(path, "/")) == depth) & F.endswith(path, F.lit(suffix)) & ~F.startswith(F.element_at(F.split(path, "/"), -1), F.lit("."))
+
+
 def scan_stems(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
     """The paths of files with this suffix below ``folder``, without it; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(folder)

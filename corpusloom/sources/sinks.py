@@ -9,13 +9,14 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.udfs import varint, varint_postings
+from ..functions.udfs import varint, varint_decode, varint_postings
 from ..operators.catalog import first_page
 
 #: The beginnings of index files, the version of page files, their rows, and the size above which a text is stored as a large file.
@@ -31,7 +32,7 @@ def _path(spark: SparkSession, path: str):
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
-    """Write a file under another name first, then move it into place."""
+    """Write a file under another name first, then move it into place in one step: a reader finds the old one or the new one."""
     jvm, where, fs = _path(spark, path)
     part = jvm.org.apache.hadoop.fs.Path(path + ".part")
     out = fs.create(part, True)
@@ -39,9 +40,11 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
-    fs.delete(where, False)
-    if not fs.rename(part, where):
-        raise OSError(f"cannot move {path} into place")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(kind, 1)
+    overwrite[0] = kind.OVERWRITE
+    context.rename(part, where, overwrite)
 
 
 def compact_json(value) -> bytes:
@@ -106,6 +109,22 @@ def nested_tree(tree: DataFrame) -> dict[str, list[dict]]:
     return roots
 
 
+def tree_texts(tree: DataFrame) -> DataFrame:
+    """(repo, tree): the nested tree of each repo as JSON text, put together in a task per repo."""
+
+    def one(nodes: pd.DataFrame) -> pd.DataFrame:
+        made: dict[tuple, dict] = {}
+        roots: list[dict] = []
+        for r in nodes.sort_values(["depth", "name"]).itertuples():  # parents come before their children
+            node = {"n": r.name, "c": int(r.n_files), "df": bool(r.has_direct), "ch": []}
+            made[r.depth, r.path] = node
+            (made[r.depth - 1, r.parent_path]["ch"] if r.depth else roots).append(node)
+        return pd.DataFrame({"repo": [nodes["repo"].iloc[0]], "tree": [compact_json(roots).decode()]})
+
+    columns = ["repo", "path", "parent_path", "name", "depth", "n_files", "has_direct"]
+    return tree.select(*columns).groupBy("repo").applyInPandas(one, "repo string, tree string")
+
+
 def _folder_item(x) -> dict:
     return {"n": x["name"], "c": x["n_files"]}
 
@@ -175,6 +194,77 @@ def index_bytes(terms: Iterable[tuple[str, list[int]]]) -> bytes:
     return bytes(out)
 
 
+SEGMENT = "first string, last string, n_terms bigint, data binary"
+
+
+def index_segments(rows: DataFrame, most: int = 8 << 20) -> DataFrame:
+    """The index of posting rows (term, id) as segments by ranges of terms: each holds sorted terms with gaps of ids, as ``index_bytes``.
+
+    A task makes the segments of its own range as rows stream by; no term list, and no list
+    of a frequent term, is held whole: a term goes on in the next segment after ``most`` bytes.
+    """
+    dealt = rows.select("term", F.col("id").cast("bigint").alias("id")).distinct().repartitionByRange("term", "id").sortWithinPartitions("term", "id")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        terms: list[tuple[str, list[int]]] = []
+        size = 0
+
+        def made() -> pd.DataFrame:
+            values = [(terms[0][0], terms[-1][0], len(terms), index_bytes(terms))]
+            return pd.DataFrame(values, columns=["first", "last", "n_terms", "data"])
+
+        for frame in frames:
+            for term, number in zip(frame["term"], frame["id"], strict=True):
+                if not terms or terms[-1][0] != term:
+                    terms.append((term, []))
+                    size += len(term)
+                terms[-1][1].append(number)
+                size += 4
+                if size >= most:
+                    yield made()
+                    terms, size = [], 0
+        if terms:
+            yield made()
+
+    return dealt.mapInPandas(run, SEGMENT)
+
+
+def segment_rows(data: bytes) -> Iterator[tuple[str, int]]:
+    """(term, id) of ``index_bytes``."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 0x7F) << shift
+            shift += 7
+            if byte < 0x80:
+                return value
+
+    for _ in range(number()):
+        size = number()
+        term, at = data[at : at + size].decode(), at + size
+        number()
+        size = number()
+        for i in varint_decode(data[at : at + size]):
+            yield term, i
+        at += size
+
+
+def read_segments(segments: DataFrame) -> DataFrame:
+    """The posting rows (term, id) of index segments."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for data in frame["data"]:
+                yield pd.DataFrame(segment_rows(bytes(data)), columns=["term", "id"])
+
+    return segments.select("data").mapInPandas(run, "term string, id bigint")
+
+
 def write_index(spark: SparkSession, path: str, postings: DataFrame, digest: bytes, n_records: int, width: int | None = None, tokenizer: str = "latin-cjk-char-v1") -> None:
     """The compressed binary index of (term, postings): n-grams of ``width`` or, without it, words of a named tokenizer."""
     name = tokenizer.encode()

@@ -45,7 +45,7 @@ def manifest_rows(texts: DataFrame, text_col: str = "value") -> DataFrame:
 def publication_urls(members: DataFrame) -> DataFrame:
     """(archive_id, url) of the web addresses in publication metadata (archive_id, content), each once."""
     files = F.from_json("content", "struct<files:array<string>>")["files"]
-    urls = members.select("archive_id", F.trim(F.explode(files)).alias("url"))
+    urls = members.select("archive_id", F.explode(F.transform(files, lambda u: F.trim(u))).alias("url"))
     return urls.where(F.col("url").rlike("^https?://")).distinct()
 
 
@@ -82,10 +82,32 @@ def body_field(row: Column, name: str) -> Column:
 
 
 def tree_blobs(tree: DataFrame, suffix: str = ".ts") -> DataFrame:
-    """(side, path, blob) of a tree listing's files with this suffix."""
+    """(side, path, blob) of a tree listing's files with this suffix.
+
+    A listing that says it is ``truncated`` (a column, where there is one) can't be compared:
+    that is an error when the rows are read.
+    """
+    if "truncated" in tree.columns:
+        whole = F.when(F.col("truncated"), F.raise_error(F.concat(F.lit("truncated listing: "), F.col("side").cast("string")))).otherwise(F.lit(True))
+        tree = tree.where(whole.cast("boolean"))
     return tree.where((F.col("type") == "blob") & F.endswith("path", F.lit(suffix))).select("side", "path", "blob")
 
 
+def whole_tree(listing: DataFrame, clones: DataFrame, by: str = "repo") -> DataFrame:
+    """(repo, path) of all files: from the listing (repo, path, type, truncated), or from the clone (repo, path) where that is cut short."""
+    cut = listing.groupBy(by).agg(F.bool_or("truncated").alias("__cut"))
+    listed = listing.where(F.col("type") == "blob").join(cut.where("not __cut"), by, "left_semi").select(by, "path")
+    return listed.unionByName(clones.select(by, "path").join(cut.where("__cut"), by, "left_semi"))
+
+
+def stale_objects(tree: DataFrame, prefix: str, retained: DataFrame) -> DataFrame:
+    """Files of a bucket's listing (path, type) below a prefix that lie under none of the retained folders (prefix)."""
+    from ..operators.manifest import outside_prefixes
+
+    files = tree.where((F.col("type") == "file") & F.startswith("path", F.lit(prefix.rstrip("/") + "/"))).select("path")
+    return outside_prefixes(files, retained, len(prefix.rstrip("/").split("/")) + 1)
+
+
 def pinned_text(preferred: Column, fallback: Column) -> Column:
     """The preferred bytes, else the fallback, as text; null unless it is non-empty valid UTF-8."""
     text = F.coalesce(preferred, fallback).cast("string")
