@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +54,18 @@ records AS (
   FROM (SELECT *, CASE WHEN name LIKE '.%' THEN length(name) - length(replace(name, '.', '')) >= 2
                        ELSE contains(name, '.') END AS dotted FROM names))
 """
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share, for queries that write files and read them again; it goes with the session."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.gettempdir()
+    path = f"{root.rstrip('/')}/corpusloom-files-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return path

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.identity import content_path
-from ..functions.text import utf16_length
-from ..functions.udfs import decode_text_udf
+from ..functions.identity import content_path, patch_path
+from ..functions.patches import article_changes_udf, auto_merge_udf, patch_error_udf
+from ..functions.rendering import change_line
+from ..functions.text import differs, utf16_length
+from ..functions.udfs import correction_id_udf, decode_text_udf
 from ..operators import audit, catalog, clean, index, manifest, matching, requests, review
 from ..sources import listing, members, payload, sinks
 
@@ -53,14 +55,62 @@ def audit_archives(spark: SparkSession, path: str, archive_id: Column, samples:
     }
 
 
-def rebuild_archives(new: DataFrame, old: DataFrame, articles: DataFrame, overrides: DataFrame) -> dict[str, DataFrame]:
-    """Archives whose revisions (archive_id, main, config, ocr_cache, ocr_patch) changed, and their articles cleaned and overridden."""
+def rebuild_archives(
+    new: DataFrame, old: DataFrame, articles: DataFrame, overrides: DataFrame, mirror: DataFrame | None = None, upstream: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Archives whose revisions (archive_id, main, config, ocr_cache, ocr_patch) changed, and their articles cleaned and overridden.
+
+    With the patch trees of both sides (archive_id, path, blob), an archive that has files
+    which differ is ``held``: its articles are previews, to be decided on, not to be published.
+    """
     branches = ["main", "config", "ocr_cache", "ocr_patch"]
     changed = manifest.snapshot_diff(new, old, ["archive_id"], branches)
-    cleaned = clean.clean_articles(articles.join(changed.select("archive_id"), "archive_id", "left_semi"))
+    if mirror is not None:
+        sides = mirror.select("archive_id", "path", "blob").join(upstream.select("archive_id", "path", F.col("blob").alias("__other")), ["archive_id", "path"], "left")
+        conflicts = sides.where(differs(F.col("blob"), F.col("__other"))).select("archive_id").distinct().withColumn("held", F.lit(True))
+        changed = changed.join(conflicts, "archive_id", "left").withColumn("held", F.coalesce("held", F.lit(False)))
+    else:
+        changed = changed.withColumn("held", F.lit(False))
+    cleaned = clean.clean_articles(articles.join(changed.select("archive_id", "held"), "archive_id"))
     return {"changed": changed, "articles": manifest.merge_overrides(cleaned, overrides, ["title", "authors"])}
 
 
+def revision_check(current: DataFrame, previous: DataFrame | None) -> DataFrame:
+    """Archives (archive_id, tree) to build again: all where there is no state yet (``baseline``), else those whose tree is another."""
+    if previous is None:
+        return current.select("archive_id", F.lit(True).alias("baseline"), "tree")
+    return manifest.snapshot_diff(current, previous, ["archive_id"], ["tree"]).select("archive_id", F.lit(False).alias("baseline"), "tree")
+
+
+#: What a request can be, and its archives.
+KINDS, ARCHIVES = ("proofread", "ocr_patch", "config", "parse"), 32
+
+
+def submitted(requests: DataFrame) -> DataFrame:
+    """Requests (a struct ``request``: archive_id, kind, article_id, publication_id, patch, metadata, article) with ``error``, ``correction`` (its id) and, where nothing is wrong, ``auto_merge``, ``lines`` of what changes, and the ``path`` of the patch."""
+    r = F.col("request")
+    invalid = patch_error_udf(r["patch"])
+    error = (
+        F.when(~F.coalesce(r["archive_id"].between(0, ARCHIVES - 1), F.lit(False)), F.lit(f"archive_id must be between 0 and {ARCHIVES - 1}"))
+        .when(~F.coalesce(r["kind"].isin(*KINDS), F.lit(False)), F.lit("unknown kind"))
+        .when(~F.coalesce(r["publication_id"].rlike(r"\A[A-Za-z0-9_.-]+\z"), F.lit(False)), F.lit("publication_id is invalid"))
+        .when(r["patch"].isNotNull(), F.col("__invalid"))
+        .when(r["metadata"].isNull(), F.lit("no changes"))
+    )
+    out = requests.withColumn("__invalid", invalid).withColumn("error", error).drop("__invalid")
+    good = F.col("error").isNull()
+    changes = article_changes_udf(r["article"], r["patch"], r["metadata"])
+    out = out.withColumn("__changes", F.when(good, changes)).withColumn("__auto", auto_merge_udf(r["kind"], r["patch"], r["metadata"]))
+    return out.withColumns(
+        {
+            "correction": correction_id_udf(F.to_json(r)),
+            "auto_merge": F.when(good, F.col("__auto")),
+            "lines": F.when(good, F.transform("__changes", change_line)),
+            "path": F.when(good, patch_path(r["article_id"], r["publication_id"])),
+        }
+    ).drop("__changes", "__auto")
+
+
 def mirror_plan(urls: DataFrame, contents: DataFrame, known: DataFrame) -> DataFrame:
     """What to add to a manifest: pending urls (archive_id, url) with the digest, size and path of their contents (url, content)."""
     digest = F.sha2("content", 256)
@@ -74,6 +124,11 @@ def optimize_plan(files: DataFrame, again: bool = False, limit: int = 2000, prof
     return files.where(todo).withColumn("transformation", manifest.transformation(F.col("url")))
 
 
+def swept_paths(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Paths to delete after files were processed: the old manifest (path, previews) refers to them, the new one doesn't."""
+    return manifest.mark_and_sweep(before, after)
+
+
 def publish_index(spark: SparkSession, root: str, tables: dict[str, DataFrame], expected: dict[str, int], digests: list[str]) -> tuple[str, list[str]]:
     """Publish a generation of tables whose row counts are as expected; returns its id and the generations dropped."""
     counts = {name: df.count() for name, df in tables.items()}

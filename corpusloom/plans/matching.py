@@ -29,10 +29,12 @@ def query(sql: str | None = None):
 @query(
     r"""SELECT item_id, replace(replace(replace(replace(regexp_replace(replace(replace(replace(replace(text, '\', '\\'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
   '([`*_\[\]()#+\-!|~])', '\\\1', 'g'), chr(13) || chr(10), '<br>'), chr(13), '<br>'), chr(10), '<br>'), '', '') AS shown,
-  '```text' || chr(10) || text || chr(10) || '```' AS fenced FROM benchmark WHERE NOT contains(text, '`')"""
+  CASE WHEN ticks THEN '`````text' || chr(10) || text || chr(10) || '`````' ELSE '```text' || chr(10) || text || chr(10) || '```' END AS fenced
+  FROM (SELECT item_id, CASE WHEN item_id % 3 = 0 THEN '```' || text || '````' ELSE replace(text, '`', '') END AS text, item_id % 3 = 0 AS ticks FROM benchmark)"""
 )
 def markdown_values(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "benchmark").where(~F.contains("text", F.lit("`")))
+    ticked = F.concat(F.lit("```"), "text", F.lit("````"))
+    items = table(spark, sf, "benchmark").withColumn("text", F.when(F.col("item_id") % 3 == 0, ticked).otherwise(F.replace("text", F.lit("`"), F.lit(""))))
     return items.select("item_id", rendering.markdown_value(F.col("text")).alias("shown"), rendering.fenced(F.col("text")).alias("fenced"))
 
 
@@ -278,13 +280,15 @@ def author_findings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", F.array_join(F.array_sort(F.transform(found, lambda f: f["issue"])), ",").alias("issues"))
 
 
-@query("SELECT doc_id, CAST((length(text) + 999) // 1000 AS BIGINT) AS n_segments, CAST(NULL AS VARCHAR) AS error FROM documents WHERE length(text) BETWEEN 1 AND 64000")
+@query(
+    """SELECT doc_id, greatest(1, (length(text) + 999) // 1000) AS n_segments, CASE WHEN length(text) > 64000 THEN 'too many segments' WHEN doc_id % 7 = 0 THEN 'wrong digest' END AS error FROM documents"""
+)
 def segmented_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts cut into segments and put together again; the bound on segments is the feature."""
-    docs = table(spark, sf, "documents").where(F.length("text").between(1, 64_000))
+    """Texts cut into segments and put together again; too many segments, or a wrong digest, are errors."""
+    docs = table(spark, sf, "documents")
     cut = docs.select(F.col("doc_id").alias("request"), F.explode(tx.chunks(F.col("text"), 1000)).alias("c"))
     segments = cut.select("request", F.col("c.part").alias("position"), F.col("c.text").alias("chunk"))
-    headers = docs.select(F.col("doc_id").alias("request"), F.length("text").alias("length"), F.sha2("text", 256).alias("sha256"))
+    headers = docs.select(F.col("doc_id").alias("request"), F.length("text").alias("length"), F.when(F.col("doc_id") % 7 != 0, F.sha2("text", 256)).otherwise("").alias("sha256"))
     joined = state.joined_segments(segments, headers).join(segments.groupBy("request").agg(F.count(F.lit(1)).alias("n_segments")), "request")
     return joined.select(F.col("request").alias("doc_id"), "n_segments", "error")
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, identity, patches, udfs
 from ..functions import text as tx
 from ..operators import audit, clean, manifest, review
-from ..sources import listing
+from ..sources import listing, state
 from .base import PAGE_RECORDS, page_records, table, url_host
 from .catalog import with_records
 
@@ -48,7 +48,7 @@ def _page_findings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_TEXT_FINDINGS + "SELECT issue, count(*) AS n FROM f GROUP BY issue")
 def text_findings(spark: SparkSession, sf: str) -> DataFrame:
-    return _page_findings(spark, sf).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+    return audit.finding_counts(_page_findings(spark, sf), []).select("issue", "n")
 
 
 @query(
@@ -192,14 +192,11 @@ def html_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", clean.html_text(F.col("html")).alias("text"))
 
 
-@query()
-def cleaned_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", F.sha2(udfs.clean_text_udf("html"), 256).alias("text_sha256"))
-
-
 @query("""SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, url FROM pages WHERE url LIKE 'http://%' OR url LIKE 'https://%'""")
 def source_urls(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").where(F.trim("url").rlike("^https?://")).select("page_id", url_host(F.col("url")).alias("host"), F.trim("url").alias("url"))
+    content = F.to_json(F.struct(F.array(F.concat(F.lit(" "), "url")).alias("files")))
+    found = state.publication_urls(table(spark, sf, "pages").select(F.col("page_id").alias("archive_id"), content.alias("content")))
+    return found.select(F.col("archive_id").alias("page_id"), url_host(F.col("url")).alias("host"), "url")
 
 
 @query(
@@ -325,25 +322,23 @@ def processing_flags(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", manifest.transformation(url)["kind"].alias("kind"), todo.alias("todo"))
 
 
-@query()
-def byte_packing(spark: SparkSession, sf: str) -> DataFrame:
-    """Greedy batches of every repo's paths under a byte budget."""
-    paths = page_records(spark, sf).groupBy("repo").agg(F.transform(F.array_sort(F.collect_list(F.struct("record_id", "path"))), lambda x: x["path"]).alias("paths"))
-    return paths.select("repo", F.size("paths").alias("n_paths"), F.array_join(manifest.packed(F.col("paths"), 80), ",").alias("batches"))
-
-
 @query(
-    _NEW_PARTS.replace("WITH o", "WITH o")
-    + """SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN p_name || '!' ELSE p_name END AS p_name, p_size FROM part"""
+    """WITH p AS (SELECT p_partkey AS k, p_name, p_size, p_partkey % 10 AS d FROM part)
+SELECT CASE WHEN d = 1 THEN -k WHEN d = 2 THEN k - 1 ELSE k END AS p_partkey, CASE WHEN d IN (1, 2) THEN k END AS moved_from, CASE WHEN d < 4 THEN p_name || '!' ELSE p_name END AS p_name, p_size,
+  CASE d WHEN 2 THEN 'target exists' WHEN 3 THEN 'article is ambiguous' END AS error, 1 + CASE WHEN d = 3 THEN n ELSE 0 END AS n FROM p, (SELECT unnest([0, 1]) AS n) WHERE n = 0 OR d = 3
+UNION ALL SELECT -5, NULL, 'none!', NULL, 'article is missing', 1"""
 )
 def merge_overrides(spark: SparkSession, sf: str) -> DataFrame:
+    """Overrides that change a name, move an article, meet a taken id, come twice, or have no article."""
+    key, null = F.col("article_id"), F.lit(None).cast("bigint")
     parts = table(spark, sf, "part").select(F.lit("p").alias("publication_id"), F.col("p_partkey").alias("article_id"), "p_name", "p_size")
-    overrides = parts.where("article_id % 10 = 0").select(
-        "publication_id", "article_id", F.col("article_id").alias("new_article_id"), F.concat("p_name", F.lit("!")).alias("p_name")
-    )
-    overrides = overrides.withColumn("new_article_id", F.lit(None).cast("bigint"))
-    out = manifest.merge_overrides(parts, overrides, ["p_name"])
-    return out.select(F.col("article_id").alias("p_partkey"), "p_name", "p_size")
+    new = F.when(key % 10 == 1, -key).when(key % 10 == 2, key - 1)
+    overrides = parts.where("article_id % 10 < 4").select("publication_id", "article_id", new.alias("new_article_id"), F.concat("p_name", F.lit("!")).alias("p_name"))
+    lone = spark.range(1).select(F.lit("p").alias("publication_id"), F.lit(-5).cast("bigint").alias("article_id"), null.alias("new_article_id"), F.lit("none!").alias("p_name"))
+    every = overrides.unionByName(overrides.where("article_id % 10 = 3")).unionByName(lone)
+    out = manifest.merge_overrides(parts, every, ["p_name"])
+    place = F.row_number().over(Window.partitionBy("article_id", "old_article_id", "error").orderBy("p_name"))
+    return out.withColumn("n", place).select(key.alias("p_partkey"), F.col("old_article_id").alias("moved_from"), "p_name", "p_size", "error", "n")
 
 
 # Review --------------------------------------------------------------------------------
@@ -423,19 +418,22 @@ def claims_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT n, body, CASE WHEN n = 0 THEN NULL WHEN n = 1 THEN 'keep' WHEN n = 2 THEN 'drop' END AS action, CASE WHEN n = 1 THEN '1,3' WHEN n = 2 THEN '1,2,3,4' END AS places
-FROM (VALUES (0, 'hello'), (1, '/ocr-keep 3, 1 3'), (2, ' /OCR-Drop all '), (3, '/ocr-drop 9')) t(n, body)"""
+    """WITH p AS (SELECT p_partkey, p_size AS n, p_partkey % 60 AS k FROM part)
+SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN CASE WHEN k BETWEEN 1 AND n THEN 'keep' END WHEN 2 THEN 'drop' WHEN 3 THEN CASE WHEN k BETWEEN 1 AND n THEN 'drop' END END AS action,
+  CASE p_partkey % 5 WHEN 1 THEN CASE WHEN k BETWEEN 1 AND n THEN CASE WHEN k = 1 THEN '1' ELSE '1,' || k END END WHEN 2 THEN array_to_string(range(1, n + 1), ',') WHEN 3 THEN CASE WHEN k BETWEEN 1 AND n THEN CAST(k AS VARCHAR) END END AS places FROM p"""
 )
 def review_commands(spark: SparkSession, sf: str) -> DataFrame:
-    bodies = F.array(*(F.lit(x) for x in ("hello", "/ocr-keep 3, 1 3", " /OCR-Drop all ", "/ocr-drop 9")))
-    rows = spark.range(1).select(F.posexplode(bodies).alias("n", "body"))
-    got = review.command(F.col("body"), F.lit(4))
-    return rows.select("n", "body", got["action"].alias("action"), F.array_join(got["places"], ",").alias("places"))
+    """Review commands over all parts: with places in and out of range, repeated ones, all of them, and none."""
+    k = F.col("p_partkey") % 60
+    bodies = (F.lit("hello"), F.concat(F.lit("/ocr-keep "), k, F.lit(", 1 "), k), F.lit(" /OCR-Drop all "), F.concat(F.lit("/ocr-drop "), k), F.concat(F.lit("/ocr-drop "), k, F.lit(" x")))
+    got = review.command(F.get(F.array(*bodies), (F.col("p_partkey") % 5).cast("int")), F.col("p_size"))
+    return table(spark, sf, "part").select("p_partkey", got["action"].alias("action"), F.array_join(got["places"], ",").alias("places"))
 
 
-@query("SELECT c_custkey, c_name AS text FROM customer")
+@query("""SELECT c_custkey, c_name || '?>~é' AS text, rtrim(translate(to_base64(encode(c_name || '?>~é')), '+/', '-_'), '=') AS marker FROM customer""")
 def marker_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select("c_custkey", tx.marker_decode(tx.marker_encode(F.col("c_name"))).alias("text"))
+    marker = tx.marker_encode(F.concat("c_name", F.lit("?>~é")))
+    return table(spark, sf, "customer").select("c_custkey", tx.marker_decode(marker).alias("text"), marker.alias("marker"))
 
 
 @query("SELECT doc_id, replace(text, 'e', 'E') AS text FROM documents WHERE contains(text, 'e')")
@@ -450,40 +448,18 @@ def delta_replay(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", udfs.text_delta_apply_udf("text", cut).alias("text"))
 
 
-@query()
-def patch_policy(spark: SparkSession, sf: str) -> DataFrame:
-    patch = F.to_json(
-        F.struct(
-            F.lit(2).alias("version"),
-            F.map_from_arrays(F.array(F.lit("0")), F.array(F.struct(F.concat(F.lit("-"), "p_size", F.lit("0")).alias("diff")))).alias("parts"),
-            F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("comments"),
-        )
-    )
-    return table(spark, sf, "part").select(
-        "p_partkey", patches.patch_error_udf(patch).alias("error"), patches.auto_merge_udf(F.lit("proofread"), patch, F.lit(None).cast("string")).alias("allowed")
-    )
-
-
 @query(
-    """SELECT n_nationkey, outcome, content FROM (SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'merged' WHEN 1 THEN 'conflict' WHEN 2 THEN 'taken' ELSE 'added' END AS outcome,
-  CASE n_nationkey % 4 WHEN 0 THEN 'A' || chr(10) || 'b' || chr(10) || 'c' || chr(10) || n_name WHEN 2 THEN n_name WHEN 3 THEN n_name END AS content FROM nation)"""
+    """WITH g AS (SELECT o_custkey, o_orderkey, o_orderkey * 1000 - lag(o_orderkey * 1000, 1, 0) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS gap FROM orders),
+b AS (SELECT o_custkey, o_orderkey, gap, unnest(range(0, CASE WHEN gap < 1 << 7 THEN 1 WHEN gap < 1 << 14 THEN 2 WHEN gap < 1 << 21 THEN 3 WHEN gap < 1 << 28 THEN 4 ELSE 5 END)) AS i,
+  CASE WHEN gap < 1 << 7 THEN 1 WHEN gap < 1 << 14 THEN 2 WHEN gap < 1 << 21 THEN 3 WHEN gap < 1 << 28 THEN 4 ELSE 5 END AS n FROM g),
+h AS (SELECT o_custkey, string_agg(printf('%02X', CAST((gap >> (7 * i)) & 127 | CASE WHEN i + 1 < n THEN 128 ELSE 0 END AS INTEGER)), '' ORDER BY o_orderkey, i) AS data FROM b GROUP BY 1)
+SELECT o_custkey, data, string_agg(CAST(o_orderkey * 1000 AS VARCHAR), ',' ORDER BY o_orderkey) AS ids FROM orders JOIN h USING (o_custkey) GROUP BY 1, 2"""
 )
-def three_way_merge(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("n_nationkey") % 4
-    base = F.when(k == 0, "a\nb\nc\nd").when(k == 1, "a").when(k == 2, "a")
-    current = F.when(k == 0, "A\nb\nc\nd").when(k == 1, "b").when(k == 2, "a")
-    changed = F.when(k == 0, F.concat(F.lit("a\nb\nc\n"), "n_name")).when(k == 1, "c").otherwise(F.col("n_name"))
-    got = udfs.merge3_udf(base, current, changed)
-    return table(spark, sf, "nation").select("n_nationkey", got.alias("m")).select("n_nationkey", "m.outcome", "m.content")
-
-
-@query(with_records("SELECT record_id, stem, postings FROM (SELECT record_id, file AS stem, path AS postings FROM records)"))
 def varint_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Ids through delta-coded varints and back, then to the rows they name."""
-    records = page_records(spark, sf)
-    coded = records.groupBy("file").agg(udfs.varint_postings_udf(F.array_sort(F.collect_list("record_id"))).alias("data"))
-    ids = coded.select("file", F.explode(udfs.varint_decode_udf("data")).alias("record_id"))
-    return ids.join(records.select("record_id", "path"), "record_id").select("record_id", F.col("file").alias("stem"), F.col("path").alias("postings"))
+    """Ids as varints of their gaps, in bytes, and read again."""
+    ids = table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.col("o_orderkey") * 1000)).alias("ids"))
+    coded = ids.select("o_custkey", udfs.varint_postings_udf("ids").alias("data"))
+    return coded.select("o_custkey", F.hex("data").alias("data"), F.array_join(udfs.varint_decode_udf("data"), ",").alias("ids"))
 
 
 __all__ = ["PAGE_RECORDS", "QUERIES", "SQL", "listing"]
