@@ -95,6 +95,18 @@ def test_whole_pipeline(spark, sf):
     assert out.count() <= len(ROWS)
 
 
+def test_near_copies_tell_rows_apart(spark):
+    """Rows that share an id but not the text stay, also without an id; of each group of copies one stays."""
+    same, other = "a b c d e f g h", "p q r s t u v w x y z"
+    rows = [(1, same), (2, same + " i"), (2, other), (3, same), (4, "k l m n o"), (4, "k l m n o"), (None, other), (None, "x1 x2 x3 x4 x5 x6"), (5, None), (5, ""), (6, "!")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    out = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in out), key=str)
+    by_text = {t for _, t in got}
+    assert (1, same) in got and by_text == {same, other, "k l m n o", "x1 x2 x3 x4 x5 x6", None, "", "!"} and len(got) == len(by_text)
+    assert corpus_pipeline.drop_near_copies(spark, docs.where("doc_id in (1, 3, 6)"), "").count() == 2
+
+
 VECTORS = "vec_id bigint, embedding array<float>, label int"
 
 
