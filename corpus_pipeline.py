@@ -1,8 +1,9 @@
 """The corpus pipeline: documents through the stages below, each written and read again.
 
 Every stage takes any columns beside doc_id, text, source and n_chars and (the last one
-apart) returns the columns it got; an empty table gives an empty table.  What nulls, empty
-and long texts, ties and repeated rows come to stands with each stage.
+apart) returns the columns it got; an empty table gives an empty table, and texts of any
+length are read whole.  What nulls, empty texts, ties and repeated rows come to stands with
+each stage.
 """
 
 from __future__ import annotations
@@ -45,16 +46,25 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest doc_id.
 
-    A document without words (or with a null text) is in no group and stays, as does one
-    with a null doc_id; of rows that repeat a doc_id one stays.
+    A document without words (or with a null text) is in no group and stays.  Rows that share
+    a doc_id, or have none, are told apart by their texts and come after all others in
+    their group; of rows with one id and one text, one stays.  Texts are read whole.
     """
-    groups, at = durable(minhash.near_duplicates(docs))
-    kept, kept_at = durable(groups.where("kept").select("doc_id").distinct())
-    out = docs.join(broadcast_if_small(kept, kept_at), "doc_id", "left_semi").select(*docs.columns)
-    if not groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    drop_table(spark, at)
-    return out.unionByName(docs.where("doc_id is null"))
+    rows = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"))
+    shared, shared_at = durable(rows.where("__rows > 1 or doc_id is null").select(F.col("doc_id").alias("__id")))
+    if shared.isEmpty():
+        groups = minhash.near_duplicates(docs)
+        kept, at = durable(groups.where("kept").select("doc_id"))
+        out = docs.join(broadcast_if_small(kept, at), "doc_id", "left_semi")
+    else:
+        own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+        marked = docs.join(broadcast_if_small(shared.withColumn("__shared", F.lit(True)), shared_at), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+        marked = marked.withColumn("__node", F.when(F.col("__shared"), own).otherwise(F.col("doc_id")))
+        groups = minhash.near_duplicates(marked.select(F.col("__node").alias("doc_id"), "text"))
+        kept, at = durable(groups.where("kept").select(F.col("doc_id").alias("__node")).distinct())
+        once = marked.where("__shared").dropDuplicates(["__node"]).unionByName(marked.where("__shared is null"))
+        out = once.join(broadcast_if_small(kept, at), "__node", "left_semi")
+    return out.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
