@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import time
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Status codes after which a request is worth another try.
@@ -31,3 +34,18 @@ def retry_delay(header: Column, now: Column, attempt: Column, base: int, most: i
 
 def worth_retrying(status: Column, attempt: Column, most: int) -> Column:
     return F.coalesce(status.isin(*RETRYABLE) & (attempt <= most), F.lit(False))
+
+
+def unpropagated(expected: DataFrame, seen: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys whose expected value isn't what is seen yet."""
+    now = seen.select(key, F.col(value).alias("__seen"))
+    return expected.join(now, key, "left").where(~F.col(value).eqNullSafe(F.col("__seen"))).select(key)
+
+
+def wait_until_empty(pending: Callable[[], list], timeout: float, pause: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
+    """Ask again until nothing is pending; a TimeoutError names what still is after ``timeout`` seconds."""
+    end = clock() + timeout
+    while left := pending():
+        if clock() >= end:
+            raise TimeoutError(f"still pending: {', '.join(map(str, left))}")
+        sleep(pause)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import json
+import sqlite3
+import tarfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,18 +153,9 @@ def text_stems(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT n_nationkey AS member_order, 'd/' || n_name AS path, n_name AS content, n_nationkey % 4 = 0 AS unsafe FROM nation WHERE n_nationkey % 5 > 0")
 def archive_members(spark: SparkSession, sf: str) -> DataFrame:
     """Members of a compressed archive, by file and by table function; those outside of it are left out."""
-    import io
-    import tarfile
-
-    rows = sorted((r["n_nationkey"], r["n_name"]) for r in table(spark, sf, "nation").collect())
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w:gz") as archive:  # one small archive
-        for key, name in rows:
-            info = tarfile.TarInfo(f"top/../{name}" if key % 5 == 0 else f"top/d/{name}")
-            info.size = len(name.encode())
-            archive.addfile(info, io.BytesIO(name.encode()))
+    rows = sorted((r["n_nationkey"], r["n_name"]) for r in table(spark, sf, "nation").collect())  # one small archive
     folder = scratch(spark)
-    sinks.write_bytes(spark, f"{folder}/a.tar.gz", out.getvalue())
+    sinks.write_bytes(spark, f"{folder}/a.tar.gz", _tar([(f"top/../{name}" if key % 5 == 0 else f"top/d/{name}", name.encode()) for key, name in rows]))
     found = members.read_archives(spark, f"{folder}/*.tar.gz").select("member_order", "path", "content")
     udtfs.register(spark)
     spark.read.format("binaryFile").load(f"{folder}/a.tar.gz").createOrReplaceTempView("corpusloom_archive")
@@ -172,6 +166,35 @@ def archive_members(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("member_order", "path", "content", unsafe.alias("unsafe"))
 
 
+def _tar(files: list[tuple[str, bytes]]) -> bytes:
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as archive:
+        for name, data in files:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            archive.addfile(info, io.BytesIO(data))
+    return out.getvalue()
+
+
+@query(
+    """WITH a AS (SELECT n_regionkey AS archive_id, n_nationkey AS k FROM nation),
+f AS (SELECT archive_id, 'empty_title' AS issue FROM a WHERE k % 2 = 0 UNION ALL SELECT archive_id, 'author_many_slashes' FROM a WHERE k % 3 = 0 UNION ALL SELECT archive_id, 'orphan_article' FROM a WHERE k % 5 = 0)
+SELECT issue, archive_id, count(*) AS n FROM f GROUP BY GROUPING SETS ((issue, archive_id), (issue))"""
+)
+def audited_archives(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of an audit of archive files, one for each region with an article for each nation."""
+    folder = scratch(spark)
+    rows = [(r["n_regionkey"], r["n_nationkey"]) for r in table(spark, sf, "nation").collect()]  # 25 rows
+    for region in sorted({a for a, _ in rows}):
+        files = [("top/s/v/x.metadata", b"{}")]
+        for k in (k for a, k in rows if a == region):
+            article = {"title": "" if k % 2 == 0 else "t", "authors": ["a/b/c/d" if k % 3 == 0 else "a"], "parts": [{"text": "x"}]}
+            files.append((f"top/s/{'none' if k % 5 == 0 else 'v'}/m/{k}.json", sinks.compact_json(article)))
+        sinks.write_bytes(spark, f"{folder}/archive-{region}.tar.gz", _tar(files))
+    number = F.regexp_extract("archive", r"archive-(\d+)\.", 1).cast("int")
+    return composites.audit_archives(spark, f"{folder}/*.tar.gz", number)["counts"]
+
+
 @query("SELECT n_nationkey AS number, n_name AS name FROM nation")
 def landed_listings(spark: SparkSession, sf: str) -> DataFrame:
     """A paginated listing that has been landed, ten rows a page."""
@@ -221,8 +244,6 @@ def drawn_trees(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT n_nationkey % 3 AS file, 'ok' AS integrity, 'v1' AS setting, count(*) AS documents, CASE WHEN n_nationkey % 3 = 2 THEN 'unexpected rows in documents' END AS error FROM nation GROUP BY ALL UNION ALL SELECT 3, 'broken', NULL, 0, 'integrity'")
 def database_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Database files: sound or not, how many rows, and whether as many as expected."""
-    import sqlite3
-
     rows = [(r["n_nationkey"], r["n_name"]) for r in table(spark, sf, "nation").collect()]  # three small files
     files = []
     for k in range(3):
@@ -236,7 +257,7 @@ def database_reports(spark: SparkSession, sf: str) -> DataFrame:
     files.append(("3", bytearray(b"SQLite format 3\0" + b"\1" * 200)))
     reports = databases.inspect_databases(spark.createDataFrame(files, "path string, content binary"), ["documents", "none"], "tokenizer_version")
     expected = spark.createDataFrame([(f"{k}", len([r for r in rows if r[0] % 3 == k]) + (k == 2)) for k in range(4)], "path string, documents bigint")
-    out = databases.database_errors(reports, expected, "v1", ["documents"], ["metadata"] if False else [])
+    out = databases.database_errors(reports, expected, "v1", ["documents"], [])
     return out.select(
         F.col("path").cast("int").alias("file"), F.when(F.col("integrity") == "ok", "ok").otherwise("broken").alias("integrity"), "setting",
         F.coalesce(F.try_element_at("counts", F.lit("documents")), F.lit(0)).alias("documents"), F.regexp_replace("error", "^integrity: .*", "integrity").alias("error"),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, identity, retries
 from ..functions import text as tx
-from ..operators import manifest, matching, review
+from ..operators import catalog, manifest, matching, review
 from ..sources import members, state
 from . import composites
 from .base import PAGE_RECORDS, page_records, table
@@ -442,3 +442,38 @@ def submissions(spark: SparkSession, sf: str) -> DataFrame:
     out = composites.submitted(table(spark, sf, "part").select(k.alias("k"), (F.col("p_size") * 10 <= 500).alias("cheap"), F.length(n).alias("cost"), request.alias("request")))
     allowed = F.when(F.col("auto_merge").isNotNull(), (F.col("auto_merge") == (F.col("cost") <= 500)) & F.col("cheap"))
     return out.select("k", "error", allowed.alias("auto_merge"), F.array_join("lines", "\n").alias("lines"), "path")
+
+
+@query(
+    """WITH n AS (SELECT c_nationkey AS archive_id, c_nationkey % 3 > 0 AS same FROM customer GROUP BY 1)
+SELECT archive_id FROM n WHERE NOT same AND archive_id % 2 = 0"""
+)
+def unpropagated_revisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives whose new revision isn't served yet; asked again until only those that stay behind are left."""
+    key = F.col("c_nationkey")
+    expected = table(spark, sf, "customer").select(key.alias("archive_id"), F.lit("new").alias("commit")).distinct()
+    lagging = lambda tries: expected.withColumn(
+        "commit", F.when((F.col("archive_id") % 3 > 0) | ((F.col("archive_id") % 2 > 0) & F.lit(tries > 0)), "new").otherwise("old")
+    )
+    tries = iter(range(2))
+    out: list[DataFrame] = []
+
+    def pending() -> list:
+        out.append(retries.unpropagated(expected, lagging(next(tries)), "archive_id", "commit"))
+        return [] if len(out) > 1 else [out[0]]
+
+    retries.wait_until_empty(pending, 60, 0)
+    return out[-1]
+
+
+@query(
+    with_records(
+        """, d AS (SELECT DISTINCT repo, folder[1:depth] AS folder FROM (SELECT repo, folder, unnest(range(1, len(folder) + 1)) AS depth FROM records))
+SELECT repo, array_to_string(folder, '/') AS path, row_number() OVER (PARTITION BY repo ORDER BY len(folder) DESC, array_to_string(folder, '/')) AS place FROM d"""
+    )
+)
+def folder_removals(spark: SparkSession, sf: str) -> DataFrame:
+    """The folders of each repo in the order in which they can be removed: the deepest first."""
+    folders = catalog.path_rollup(page_records(spark, sf)).where("depth > 0").select("repo", "path")
+    place = F.row_number().over(Window.partitionBy("repo").orderBy(*manifest.deepest_first(F.col("path"))))
+    return folders.withColumn("place", place)
