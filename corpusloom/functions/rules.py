@@ -42,7 +42,10 @@ CLEAN_TAGS = (
     r"(?i)</?(?:html|head|body|title|img|font|br|span|b|strong|em|i|u|p|pre|div|a|sup|sub|hr|blockquote|h[1-6]|ul|ol|li|table|thead|tbody|tr|td|th)\b[^>]*>"
 )
 
-#: Cleaning of authors.  Whole fields that are none, in their raw form:
+#: Any sign that the cleaning of texts could change: of entities, tags, invisible and control characters, layout marks.
+DIRTY = r"[&<〖\x00-\x08\x0b\x0c\x0e-\x1f\x7f\u200b-\u200f\u202a-\u202e\ufeff]"
+
+#: Cleaning of authors: fixed values.  Whole fields that are none, in their raw form:
 RAW_NOT_AUTHORS = (AUTHOR_IMAGE, r"(?i)\s*DW\s*[:：]?\s*", r"(?i)\s*(?:/ct|ct)?\s*[<>]+\s*")
 RAW_RECORD = r"(?i)〖-(?:ZQ|RQ|BH|TH|BT|FT|YT)/"
 LAYOUT_MARK = r"(?i)〖HH/换行〗\s*DW：.*(?=\n?\Z)"
@@ -61,7 +64,7 @@ CLEAN_NOISE = (r"(?:\d|[《？])", r"(?i)\s*/?ct\s*")
 MISPARSED_PROSE = r"(?:\A事由：|简介：.*简介：|图为.+[。！？])"
 CLEAN_PAIRS = ("《》", "【】", "『』", "「」", "“”")
 
-#: Archives with rules of their own.
+#: Archives with rules of their own: fixed values.
 CLEANED_ARCHIVES = (3, 9, 10, 12, 14, 20, 24, 31)
 NO_EMPTY_CONTENT, NO_REPLACEMENT = (10, 20, 24), 24
 SPLIT_ALL, SPLIT_SLASH = 9, 24

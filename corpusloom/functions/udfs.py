@@ -18,6 +18,7 @@ from functools import cache
 from urllib.parse import unquote_to_bytes
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,18 +151,23 @@ def text_delta_apply(text: str, delta: str) -> str | None:
 
     Unknown tokens are passed over.
     """
-    units, at, out = text.encode("utf-16-le"), 0, []
+    # Where every character is one unit, the text is cut as it is.
+    plain = text.isascii() or max(text, default="") <= "\uffff"
+    units, width, at, out = (text, 1, 0, []) if plain else (text.encode("utf-16-le"), 2, 0, [])
     try:
         for token in filter(None, (delta or "").split("\t")):
             sign, rest = token[0], token[1:]
             if sign == "+":
-                out.append(inserted_text(rest).encode("utf-16-le"))
+                new = inserted_text(rest) if "%" in rest else rest
+                out.append(new if plain else new.encode("utf-16-le"))
             elif sign in "=-" and rest.isdigit():
-                end = at + 2 * int(rest)
+                end = at + width * int(rest)
                 if sign == "=":
                     out.append(units[at:end])
                 at = end
-        return b"".join(out).decode("utf-16-le") if at == len(units) else None
+        if at != len(units):
+            return None
+        return "".join(out) if plain else b"".join(out).decode("utf-16-le")
     except (UnicodeDecodeError, ValueError):
         return None
 
@@ -381,6 +387,16 @@ def first_replaced(text: str, old: str, new: str) -> str:
     return text.replace(old, new, 1)
 
 
+def cleaned(c: Column) -> Column:
+    """``clean_text`` as a column: texts without any sign that it could change don't go to Python."""
+    return F.coalesce(clean_text_udf(F.when(c.rlike(rules.DIRTY), c)), c)
+
+
+def unescaped(c: Column) -> Column:
+    """``html_unescape2`` as a column: texts without an ampersand don't go to Python."""
+    return F.coalesce(html_unescape2_udf(F.when(F.contains(c, F.lit("&")), c)), c)
+
+
 _STRINGS = T.ArrayType(T.StringType())
 html_unescape2_udf = mapped(html_unescape2, T.StringType())
 clean_text_udf = mapped(clean_text, T.StringType())

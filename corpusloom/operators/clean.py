@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import strip
-from ..functions.udfs import MOJIBAKE_SIGNS, clean_authors_udf, clean_text_udf, html_unescape2_udf, split_authors_udf
+from ..functions.udfs import MOJIBAKE_SIGNS, clean_authors_udf, cleaned, split_authors_udf, unescaped
 from .audit import has_content
 
 
 def html_text(c: Column) -> Column:
     """Without tags, with entities resolved, stripped."""
-    return strip(html_unescape2_udf(F.regexp_replace(c, "(?s)<[^>]*>", "")))
+    return strip(unescaped(F.regexp_replace(c, "(?s)<[^>]*>", "")))
 
 
 def clean_articles(articles: DataFrame, archive_col: str = "archive_id") -> DataFrame:
@@ -25,7 +25,7 @@ def clean_articles(articles: DataFrame, archive_col: str = "archive_id") -> Data
     """
     archive = F.col(archive_col)
     selected = archive.isin(*rules.CLEANED_ARCHIVES)
-    each = lambda c: F.when(selected, clean_text_udf(c)).otherwise(c)
+    each = lambda c: F.when(selected, cleaned(c)).otherwise(c)
     out = articles.withColumns({"title": each(F.col("title")), "description": each(F.col("description"))})
     out = _cleaned_list(out, "comments", selected)
     texts = out.withColumn("__texts", F.transform("parts", lambda p: p["text"]))

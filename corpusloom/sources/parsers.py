@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
-from ..functions.udfs import html_unescape2_udf
+from ..functions.udfs import unescaped
 
 #: The fields of marked text.
 MARKS = {"title": "BT/标题", "subtitle": "FT/副题", "authors": "ZZ/作者", "date": "RQ/日期"}
@@ -54,7 +54,7 @@ def dashed_date(c: Column) -> Column:
 
 
 def _node_text(c: Column) -> Column:
-    return strip(html_unescape2_udf(F.regexp_replace(c, "(?s)<[^>]*>", "")))
+    return strip(unescaped(F.regexp_replace(c, "(?s)<[^>]*>", "")))
 
 
 def page_article(pages: DataFrame, html_col: str) -> DataFrame:

@@ -1,14 +1,14 @@
 """Columns and UDFs against plain Python on generated values."""
 
 import re
-from urllib.parse import quote
+from urllib.parse import quote, unquote_to_bytes
 
 from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
-from corpusloom.functions import udfs
+from corpusloom.functions import rules, udfs
 from corpusloom.operators import index
 
 TEXT = st.text(st.characters(exclude_categories=["Cs"]), max_size=30)
@@ -72,3 +72,28 @@ def test_natural_order(spark, names):
     got = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(tx.natural_key(F.col("n")), "n").collect()]
     runs = lambda n: [(0, int(x), "") if x.isdigit() else (1, 0, x.lower()) for x in re.findall("[0-9]+|[^0-9]+", n)]
     assert got == sorted(names, key=lambda n: (runs(n), n))
+
+
+@given(st.text(max_size=30), st.text(alphabet="&<〖>aZ;#6​\x01é", max_size=12))
+def test_clean_texts_hold_no_sign(head, tail):
+    """Whatever cleaning changes holds one of the signs that send a text to it."""
+    text = head + tail
+    if udfs.clean_text(text) != text:
+        assert re.search(rules.DIRTY, text)
+
+
+@given(st.text(alphabet="aé漢🚀\n", max_size=12), st.lists(st.tuples(st.sampled_from("=-+"), st.integers(0, 4)), max_size=6))
+def test_delta_equals_utf16_replay(text, steps):
+    tokens = [f"+{'🚀%41+'[:n]}" if sign == "+" and n != 3 else f"{'=' if sign == '+' else sign}{n}" for sign, n in steps]
+    units, at, out = text.encode("utf-16-le"), 0, b""
+    for token in tokens:
+        if token[0] == "+":
+            out += unquote_to_bytes(token[1:].replace("+", "%2B")).decode().encode("utf-16-le")
+        else:
+            end = at + 2 * int(token[1:])
+            out, at = out + (units[at:end] if token[0] == "=" else b""), end
+    try:
+        expected = out.decode("utf-16-le") if at == len(units) else None
+    except UnicodeDecodeError:
+        expected = None
+    assert udfs.text_delta_apply(text, "\t".join(tokens)) == expected
