@@ -1,4 +1,4 @@
-"""Every operator and pipeline stage on nulls, empty and long texts, repeated rows, clashing columns and empty tables."""
+"""Every operator and stage on nulls, empty and long texts, repeated rows, clashing columns and empty tables."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,7 +89,7 @@ def test_stages(spark, name, docs, wide, none, sf):
     assert n <= len(ROWS) if name in ("toxicity", "minhash") else n == len(ROWS)
 
 
-def test_whole_pipeline(spark, sf):
+def test_all_stages(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert {"doc_id", "n_tokens", "ids"} <= set(out.columns)
     assert out.count() <= len(ROWS)

@@ -73,7 +73,7 @@ def test_quality_query(spark, tmp_path):
         assert r["held_out"] == held(r["doc_id"]) and r["predicted"] == int(r["score"] >= 0.3)
 
 
-def test_pipeline(spark, tmp_path):
+def test_stages_in_a_row(spark, tmp_path):
     """All stages on a small collection, against plain versions of each."""
     from tokenizers import Tokenizer
 
