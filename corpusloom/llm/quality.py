@@ -13,7 +13,8 @@ one map over all rows.
 Defined results: null and empty texts have the statistics of an empty text and a score
 like any other; without labels of both kinds every score is the share of label 1 (0.5
 without any); repeated document rows are scored each; of repeated labels the smallest
-counts; an empty table gives an empty table.
+counts; texts are read whole, however long; an input column named as the score gives way to
+it; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,7 +112,7 @@ class Machine:
         own = cls(w, v)
         for _ in range(EPOCHS):
             for i in rng.permutation(len(rows)):
-                index, value = rows[i]
+                index, value = rows[i][0], rows[i][1].astype(np.float64)
                 part = v[index] * value[:, None]
                 total = part.sum(0)
                 z = w[index] @ value + 0.5 * (total @ total - (part * part).sum())
@@ -124,6 +126,13 @@ class Machine:
         return own
 
 
+def _views(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a column of lists as slices of its numbers, without a copy of them as Python values."""
+    column = lists.combine_chunks()
+    numbers, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [numbers[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, train: Column, keep: list[str] | None = None, score_col: str = "score"
 ) -> DataFrame:
@@ -158,7 +167,7 @@ def score_quality(
     y = got["quality"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return docs.select(*keep).withColumn(score_col, F.lit(float(y.mean()) if len(y) else 0.5))
-    rows = [(np.array(i), np.array(x, float)) for i, x in zip(got["index"].to_pylist(), got["value"].to_pylist(), strict=True)]
+    rows = list(zip(_views(got["index"]), _views(got["value"]), strict=True))
     machine = spark.sparkContext.broadcast(Machine.fit(rows, y))
 
     def score():
