@@ -269,15 +269,38 @@ def change_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    """WITH a AS (SELECT c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN '?' WHEN c_custkey % 3 = 1 THEN '(x' ELSE '/a/b/c' END AS name FROM customer)
-SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'author_ascii_question' WHEN 1 THEN 'unbalanced_author_delimiter,unbalanced_author_parenthesis' ELSE 'author_many_slashes' END AS issues FROM a"""
+#: One name for each author rule, and the rules that it breaks.
+_NAMES = (
+    ("IMG = q7", "author_image_placeholder,author_ocr_residue"),
+    ("Lee (ed", "unbalanced_author_delimiter,unbalanced_author_parenthesis"),
+    ("Board [2]", "square_bracket_author"),
+    ("x > y", "angle_bracket_author,unbalanced_author_delimiter"),
+    (" (Nobody) ", "wrapped_author"),
+    ("z〗z", "author_ocr_residue"),
+    ("?somebody", "author_ascii_question,author_placeholder"),
+    ("━━ continued", "author_title_prefix"),
+    ("1901年春天起草", "author_date_statement"),
+    ("7", "author_pure_noise"),
+    ("「Half", "unbalanced_author_delimiter"),
+    ("y" * 81, "very_long_author"),
+    ("who? me", "author_ascii_question"),
+    ("。Dot", "author_odd_edge"),
+    ("abcdefghijk；z", "author_sentence_punctuation"),
+    ("本文" + "z" * 16, "author_prose_cue"),
+    ("k/l/m/n", "author_many_slashes"),
+    ("w" * 41, "author_review_length"),
+    ("Plain Name", ""),
 )
+
+
+@query("SELECT c_custkey, [" + ", ".join(f"'{issues}'" for _, issues in _NAMES) + f"][c_custkey % {len(_NAMES)} + 1] AS issues, CASE WHEN c_custkey % {len(_NAMES)} < {len(_NAMES) - 1} THEN '$.authors[1]' END AS field FROM customer")
 def author_findings(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("c_custkey") % 3
-    name = F.concat("c_name", F.when(k == 0, "?").when(k == 1, "(x").otherwise("/a/b/c"))
-    found = audit.author_findings(F.array(name))
-    return table(spark, sf, "customer").select("c_custkey", F.array_join(F.array_sort(F.transform(found, lambda f: f["issue"])), ",").alias("issues"))
+    """Names that break each of the rules, behind one that breaks none."""
+    name = F.get(F.array(*(F.lit(n) for n, _ in _NAMES)), (F.col("c_custkey") % len(_NAMES)).cast("int"))
+    customers = table(spark, sf, "customer").select("c_custkey", F.array(F.col("c_name"), name).alias("authors"))
+    found = customers.select("c_custkey", audit.author_findings(F.col("authors")).alias("f"))
+    issues = F.array_join(F.array_sort(F.transform("f", lambda f: f["issue"])), ",")
+    return found.select("c_custkey", issues.alias("issues"), F.array_max(F.transform("f", lambda f: f["field"])).alias("field"))
 
 
 @query(
