@@ -77,6 +77,39 @@ def test_operators(name, docs, wide, none, labels):
     assert run(docs, labels.where("false")).count() == expected
 
 
+def test_values(docs, labels):
+    """What each case comes to, not only that it comes through."""
+    by = lambda df, *c: sorted(([r[x] for x in ("doc_id", *c)] for r in df.collect()), key=str)
+    assert by(bpe.encode_decode(docs, VOCABULARY), "decoded") == sorted(([r[0], r[1] or ""] for r in ROWS), key=str)
+    assert all(not r["ids"] for r in bpe.encode_decode(docs, VOCABULARY).collect() if not r["text"])
+
+    # The line of the two pages of the null host is on all of them; one page of a host is no evidence.
+    lines = {(r["doc_id"], r["source"]): (r["text"], r["n_lines"], r["n_dropped"]) for r in linededup.dedup_lines(docs).collect()}
+    assert lines == {
+        (1, "a"): (None, 0, 0), (2, "a"): ("", 1, 0), (3, None): ("", 1, 1), (4, "b"): ("one two three", 1, 0), (5, "b"): (LONG, 1, 0), (6, ""): ("\n\n \t", 3, 0),
+        (None, "a"): ("no id", 1, 0), (7, "a"): (ROWS[-1][1], 1, 0),
+    }
+
+    groups = by(minhash.near_duplicates(docs), "n_shingles", "component_id", "kept")
+    assert groups == sorted([[1, 0, 1, True], [2, 0, 2, True], [3, 1, 3, True], [3, 1, 3, True], [4, 1, 3, False], [5, 3, 5, True], [6, 0, 6, True], [None, 1, None, True], [7, 1, 7, True]], key=str)
+
+    cut = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix.remove_repeats(docs).collect()}
+    assert cut[5] == (len(LONG), len(LONG), 1) and all(gone == 0 for i, (_, gone, _) in cut.items() if i != 5) and cut[1] == (0, 0, 0)
+
+    mixed = mixing.mix(docs).collect()
+    assert sorted(r["slot"] for r in mixed if r["in_block"] == 0) == list(range(len({r["source"] for r in mixed})))
+    assert sorted((str(r["source"]), r["in_block"]) for r in mixed) == sorted((str(s), i) for s, n in (("a", 4), (None, 2), ("b", 2), ("", 1)) for i in range(n))
+
+    for scored in (quality.score_quality(docs, labels, F.lit(True)), toxicity.score_toxicity(docs, labels, F.lit(True))):
+        score: dict = {}
+        for r in scored.collect():
+            assert 0 <= r["score"] <= 1 and score.setdefault(r["text"] or "", r["score"]) == r["score"]
+    for rows, least in ((labels.where("false"), 0.5), (labels.where("quality = 1"), 1.0)):
+        assert {r["score"] for r in quality.score_quality(docs, rows, F.lit(True)).collect()} == {least}
+    assert {r["score"] for r in toxicity.score_toxicity(docs, labels.where("toxic = 1"), F.lit(True)).collect()} == {1.0}
+    assert {r["score"] for r in toxicity.score_toxicity(docs, labels.where("false"), F.lit(True)).collect()} == {0.0}
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages(spark, name, docs, wide, none, sf):
     stage = dict(corpus_pipeline.STAGES)[name]
@@ -125,6 +158,26 @@ def test_vectors(spark):
     assert embed.near_duplicates(empty).count() == topk.top_k(empty, F.lit(True)).count() == 0
 
 
+def test_vectors_with_clashing_columns(spark):
+    rows = [(i, [float(i % 5), 1.0, float(i % 3)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    wide = df.withColumns({c: F.lit("clash") for c in [*CLASHING, "id", "asks", "rank", "query_id", "v", "size", "n_links", "component_id"]})
+    for run in (embed.near_duplicates, lambda d: topk.top_k(d, F.col("vec_id") % 20 == 0, 3)):
+        out = run(wide)
+        assert len(out.columns) == len(set(out.columns))
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, run(df).collect()))
+
+
+def test_long_and_clashing_chat(spark):
+    text = "<|im_end|> " * 30_000
+    turns = spark.createDataFrame([(1, i, "user" if i % 2 == 0 else "assistant", text if i == 3 else f"t{i}") for i in range(400)], "conv_id bigint, turn bigint, role string, text string")
+    wide = turns.withColumns({c: F.lit("clash") for c in ("turns", "loss_text", "formatted", "attachments", "n_expanded", "esc", "pos", "m", "x")})
+    for df in (turns, wide):
+        row = chat.read_back(chat.format_chat(df.withColumn("parts", chat.text_part(F.col("text"))))).first()
+        assert len(row["turns"]) == 400 and row["turns"][3]["text"] == text
+        assert row["loss_text"] == "".join(text if i == 3 else f"t{i}" for i in range(1, 400, 2))
+
+
 def test_chat(spark):
     turns = spark.createDataFrame(
         [(1, 1, "assistant", "b<|im_end|>\n"), (1, 0, "us\ner", None), (1, 2, None, "\\[INST]"), (None, 0, "user", ""), (2, 5, "assistant", "x"), (2, 5, "assistant", "x"), (2, None, "user", "<|x")],
