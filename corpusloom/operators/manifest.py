@@ -103,8 +103,10 @@ def drop_outcome(current: Column, upstream: Column) -> Column:
 
 def exactly_one(df: DataFrame, keys: list[str]) -> DataFrame:
     """Add ``matches``, the rows of each key, and ``error`` where it isn't one."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches"))
-    out = df.join(counts, keys)
+    own = {k: f"__{k}" for k in keys}
+    counts = df.groupBy(*(F.col(k).alias(v) for k, v in own.items())).agg(F.count(F.lit(1)).alias("matches"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(v)) for k, v in own.items()])
+    out = df.join(counts, same).drop(*own.values())
     return out.withColumn("error", F.when(F.col("matches") != 1, F.concat(F.col("matches").cast("string"), F.lit(" matches"))))
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import dates, udtfs
-from corpusloom.operators import catalog, review
+from corpusloom.operators import catalog, manifest, review
 from corpusloom.sources import paged, payload, sinks
 
 
@@ -60,3 +60,9 @@ def test_small_review_pieces(spark):
     assert review.issues_to_close(issues, None).count() == 2
     counts = review.change_summary(F.lit(2), F.lit(0), F.lit(True), F.array(F.lit("标题")))
     assert one(counts) == ["正文段落 2 处", "描述", "标题"]
+
+
+def test_exactly_one_counts_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    got = {r["v"]: (r["matches"], r["error"]) for r in manifest.exactly_one(df, ["k"]).collect()}
+    assert got == {"a": (2, "2 matches"), "b": (2, "2 matches"), "c": (1, None), "d": (2, "2 matches"), "e": (2, "2 matches")}
