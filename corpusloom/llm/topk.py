@@ -39,69 +39,79 @@ from .common import arrow_map, drop_table, durable
 BLOCK, QUERIES = 8192, 1 << 16
 #: Vectors left over whose scores are resolved outright.
 FEW = 64
-#: Depths at which the fronts are looked at, as shares of a list; and how much of the unread rest a step reads.
-DEPTHS, GROWTH = 64, 0.3
+#: Depths to which the lists are read before bounds are taken, as shares of them; then the rest is resolved.
+DEPTHS = (0.25, 0.5, 0.625, 0.75, 0.875, 0.9375)
+#: Queries that are bounded together.
+BATCH = 256
 
 
 class Lists:
-    """The sorted lists of a block of candidates, with each vector's place in every list."""
+    """The sorted lists of a block of candidates."""
 
     def __init__(self, ids: np.ndarray, copies: np.ndarray, x: np.ndarray):
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.copies, self.x = ids[by_id], copies[by_id], x[by_id]
-        order = np.argsort(self.x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.x, order, 0).T.astype(np.float64)
-        place = np.empty_like(order)
-        np.put_along_axis(place, order, np.arange(len(ids))[:, None], 0)
-        self.place = np.ascontiguousarray(place.T.astype(np.int32))
         self.columns = np.ascontiguousarray(self.x.T.astype(np.float64))
-        #: Rows of the lists that were read, and that they have, over all queries.
-        self.read = self.rows = 0
+        self.sorted = np.sort(self.columns, axis=1)
 
-    def best(self, query_id: int, q: np.ndarray, k: int, least: float = -np.inf) -> list[tuple[int, int]]:
-        """The k best (vec_id, score) of at least ``least`` for a query, without its own row; ties to the smaller id."""
+    def best(self, query_ids: list[int], queries: np.ndarray, k: int, least: np.ndarray) -> list[list[tuple[int, int]]]:
+        """For each query the k best (vec_id, score) of at least ``least``, without its own row; ties to the smaller id."""
+        own = [self._own(i, q) for i, q in zip(query_ids, queries, strict=True)]
+        every = self._reaching(queries.astype(np.float64), own, k, least.astype(np.float64))
+        return [self._resolved(q, mine, left, k, low) for q, mine, left, low in zip(queries, own, every, least, strict=True)]
+
+    def _own(self, query_id: int, q: np.ndarray) -> int:
+        """The place of the query's own row; -1 if it isn't here."""
         lo, hi = np.searchsorted(self.ids, [query_id, query_id + 1])
-        own = lo + np.flatnonzero((self.x[lo:hi] == q).all(1))
-        copies = self.copies
-        if len(own):
-            copies = copies.copy()
-            copies[own[0]] -= 1
-        left = self._reaching(q, np.flatnonzero(copies > 0), k, least)
+        same = np.flatnonzero((self.x[lo:hi] == q).all(1))
+        return int(lo + same[0]) if len(same) else -1
+
+    def _resolved(self, q: np.ndarray, own: int, left: np.ndarray, k: int, least: float) -> list[tuple[int, int]]:
+        """The final scores of the vectors that are left, the k best of them."""
+        copies = self.copies[left] - (left == own)
         score = self.x[left] @ q
-        enough = score >= least
-        if enough.sum() > k:
-            enough &= score >= np.partition(score, len(score) - k)[len(score) - k]
-        left, score = left[enough], score[enough]
+        good = (copies > 0) & (score >= least)
+        left, copies, score = left[good], copies[good], score[good]
         out: list[tuple[int, int]] = []
-        for b in np.lexsort((self.ids[left], -score)):
-            out += [(int(self.ids[left[b]]), int(score[b]))] * int(min(copies[left[b]], k - len(out)))
-            if len(out) == k:
-                break
-        return out
-
-    def _reaching(self, q: np.ndarray, left: np.ndarray, k: int, least: float) -> np.ndarray:
-        """Those of ``left`` that may be among the k best and reach ``least``, when reading stops."""
-        size, used = len(self.ids), np.flatnonzero(q)
-        if not len(used) or len(left) <= max(k, FEW):
+        for b in np.lexsort((self.ids[left], -score))[:k]:
+            out += [(int(self.ids[left[b]]), int(score[b]))] * int(min(copies[b], k - len(out)))
+        return out[:k]
+
+    def _reaching(self, queries: np.ndarray, own: list[int], k: int, least: np.ndarray) -> list[np.ndarray]:
+        """For each query the vectors that may be among its k best and reach ``least``, when reading stops."""
+        size = len(self.ids)
+        left = [np.arange(size)] * len(queries)
+        if size <= max(k, FEW):
             return left
-        w, down = q[used].astype(np.float64), (q[used] > 0)[:, None]
-        fronts = lambda to: w * np.where(w > 0, self.sorted[used, size - to], self.sorted[used, to - 1])
-        last, to = fronts(size), 0
-        for step in range(1, DEPTHS):
-            to = max(1, size * step // DEPTHS)
-            # Half the lists are read before a block bounds the k-th score by itself.
-            if fronts(to).sum() < least or (least == -np.inf and 2 * step >= DEPTHS):
+        # Of a list that is read from the large end nothing unread is above its front, and the other way round.
+        down, up = np.maximum(queries, 0), np.minimum(queries, 0)
+        open_, least = np.arange(len(queries)), least.copy()
+        for share in DEPTHS:
+            to = max(1, int(size * share))
+            top, bottom = self.sorted[:, size - to, None], self.sorted[:, to - 1, None]
+            unknown = least == -np.inf
+            fronts = (down @ top + up @ bottom)[:, 0]
+            now = open_[(fronts < least)[open_] | (unknown[open_] & (share >= 0.5))]
+            if not len(now):
+                continue
+            high = down[now] @ np.maximum(self.columns, top) + up[now] @ np.minimum(self.columns, bottom)
+            bound = np.flatnonzero(unknown[now])
+            if len(bound):
+                read_down = np.where(self.columns >= top, self.columns, self.sorted[:, :1])
+                read_up = np.where(self.columns <= bottom, self.columns, self.sorted[:, -1:])
+                under = down[now[bound]] @ read_down + up[now[bound]] @ read_up
+                for row, r in zip(under, bound, strict=True):
+                    if own[now[r]] >= 0:
+                        row[own[now[r]]] = -np.inf
+                    least[now[r]] = np.partition(row, size - k)[size - k]
+            for row, r in zip(high, now, strict=True):
+                left[r] = np.flatnonzero(row >= least[r])
+            # A bound that the block found for itself is found anew, and better, at the next depth.
+            least[now[bound]] = np.where([len(left[r]) <= FEW for r in now[bound]], least[now[bound]], -np.inf)
+            settled = {int(r) for r in now if len(left[r]) <= max(k, FEW)}
+            open_ = np.array([r for r in open_ if r not in settled], np.int64)
+            if not len(open_):
                 break
-        while to < size and len(left) > max(k, FEW):
-            front, place = fronts(to), self.place[used[:, None], left]
-            seen = np.where(down, place >= size - to, place < to)
-            low = (w[:, None] * self.columns[used[:, None], left] * seen).sum(0)
-            high, under = low + front.sum() - front @ seen, low + last.sum() - last @ seen
-            least = max(least, np.partition(under, len(under) - k)[len(under) - k])
-            left = left[high >= least]
-            self.read += to
-            self.rows += size
-            to += max(1, int((size - to) * GROWTH))
         return left
 
 
@@ -137,11 +147,29 @@ def top_k(
         dealt = both.repartition("size", "c", "q").sortWithinPartitions("size", "c", "q", "kind")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, ids, copies, data, lists = None, [], [], [], None
-            for batch in batches:
+            at, lists = None, None
+            ids: list = []
+            copies: list = []
+            data: list = []
+            asked: list = []
+
+            def answered() -> pa.RecordBatch:
                 out: tuple[list, list, list, list] = ([], [], [], [])
-                for size, c, q, kind, name, vector, n, mark, least in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                names, marks, vectors, least = zip(*asked, strict=True) if asked else ((), (), (), ())
+                if asked:
+                    low = np.array([-np.inf if x is None else x for x in least])
+                    for name, mark, found in zip(names, marks, lists.best(list(names), np.stack(vectors), k, low), strict=True):
+                        for vec, score in found:
+                            for column, value in zip(out, (name, mark, vec, score), strict=True):
+                                column.append(value)
+                asked.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "mark", "vec_id", "score"])
+
+            for batch in batches:
+                for size, c, q, kind, name, vector, n, mark, low in zip(*(col.to_pylist() for col in batch.columns), strict=True):
                     if at != (size, c, q):
+                        if asked:
+                            yield answered()
                         at, ids, copies, data, lists = (size, c, q), [], [], [], None
                     x = np.array(vector, np.int64)
                     if kind == 0:
@@ -152,10 +180,11 @@ def top_k(
                     if lists is None:
                         lists = Lists(np.array(ids, np.int64), np.array(copies, np.int64), np.stack(data) if data else np.zeros((0, size), np.int64))
                         ids, copies, data = [], [], []
-                    for found, score in lists.best(name, x, k, -np.inf if least is None else least):
-                        for column, value in zip(out, (name, mark, found, score), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "mark", "vec_id", "score"])
+                    asked.append((name, mark, x, low))
+                    if len(asked) >= BATCH:
+                        yield answered()
+            if asked:
+                yield answered()
 
         return arrow_map(dealt, run, "query_id bigint, mark bigint, vec_id bigint, score bigint")
 

@@ -256,10 +256,12 @@ def test_lists_with_and_without_pruning(least):
     centres = rng.integers(-200, 200, (50, 16))
     for x in (rng.integers(-200, 200, (3000, 16)), centres[rng.integers(0, 50, 3000)] + rng.integers(-9, 9, (3000, 16))):
         lists = topk.Lists(np.arange(3000), np.ones(3000, np.int64), x)
-        for i in range(20):
+        expected = []
+        for i in range(40):
             score = x @ x[i]
-            best = sorted((j for j in range(3000) if j != i), key=lambda j: (-score[j], j))[:5]
-            assert lists.best(i, x[i], 5, score[best[-1]] if least else -np.inf) == [(j, score[j]) for j in best]
+            expected.append([(j, score[j]) for j in sorted((j for j in range(3000) if j != i), key=lambda j: (-score[j], j))[:5]])
+        low = np.array([e[-1][1] if least else -np.inf for e in expected])
+        assert lists.best(list(range(40)), x[:40], 5, low) == expected
 
 
 @pytest.mark.parametrize(("block", "part", "kind"), [(80, (40, 64), "double"), (20_000, (2048, 16_384), "float")])
