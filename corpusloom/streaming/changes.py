@@ -40,23 +40,29 @@ CLAIM = "key string, outcome string, n bigint"
 
 
 def claim_states(stream: DataFrame) -> DataFrame:
-    """The state of each key after its events (key, event): claimed, published or released, and how many events it took.
+    """The state of each key after its events (key, event, order): claimed, published or released, and how many events it took.
 
-    A published key stays published; a released one may be claimed again.
+    A published key stays published; a released one may be claimed again.  The order column
+    decides, not the arrival: a key's rows come in several frames, and in several batches,
+    so the place of the event that counts is part of the state.
     """
     steps = {"claim": "claimed", "merge": "published", "close": "released"}
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        outcome, n = state.get if state.exists else ("candidate", 0)
+        outcome, n, last = state.get if state.exists else ("candidate", 0, None)
         for frame in frames:
-            for event in frame.sort_values("order")["event"]:
-                n += 1
-                if outcome != "published":
-                    outcome = steps.get(event, outcome)
-        state.update((outcome, n))
+            n += len(frame)
+            for event, order in zip(frame["event"], frame["order"]):
+                if outcome == "published" or event not in steps:
+                    continue
+                place = None if pd.isna(order) else order  # without a place it comes before all others
+                if event == "merge" or last is None or (place is not None and place >= last):
+                    outcome, last = steps[event], place
+        state.update((outcome, n, last))
         yield pd.DataFrame({"key": [key[0]], "outcome": [outcome], "n": [n]})
 
-    return stream.groupBy("key").applyInPandasWithState(step, CLAIM, "outcome string, n bigint", "update", GroupStateTimeout.NoTimeout)
+    kept = f"outcome string, n bigint, last {stream.schema['order'].dataType.simpleString()}"
+    return stream.groupBy("key").applyInPandasWithState(step, CLAIM, kept, "update", GroupStateTimeout.NoTimeout)
 
 
 def counted_events(stream: DataFrame, time_col: str, window: str, late: str, by: list[str]) -> DataFrame:

@@ -27,3 +27,24 @@ def test_claim_states(spark, tmp_path):
     query = out.writeStream.format("memory").queryName("claims").outputMode("update").trigger(availableNow=True).start()
     query.awaitTermination()
     assert {r["key"]: (r["outcome"], r["n"]) for r in spark.table("claims").collect()} == {"k": ("published", 3), "m": ("released", 2)}
+
+
+def test_claim_states_in_pieces(spark, tmp_path):
+    """The last event counts, however a key's rows are cut into frames and batches."""
+    schema, src = "key string, event string, order bigint", str(tmp_path / "in")
+    batches = [
+        [("a", "claim", 9), ("a", "close", 1), ("a", "claim", 3), ("b", "close", 8), ("b", "claim", 2), ("c", "merge", 7), ("c", "close", 9), ("d", "close", 5), ("e", "claim", 2**60 + 1)],
+        [("a", "close", 4), ("b", "claim", 9), ("c", "claim", 1), ("d", "other", 6), ("d", "claim", None), ("e", "close", 2**60)],
+    ]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        got = {}
+        for batch in batches:
+            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+            out = changes.claim_states(spark.readStream.schema(schema).parquet(src))
+            take = lambda df, n: got.update({r["key"]: (r["outcome"], r["n"]) for r in df.collect()})
+            out.writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {"a": ("claimed", 4), "b": ("claimed", 3), "c": ("published", 3), "d": ("released", 3), "e": ("claimed", 2)}
