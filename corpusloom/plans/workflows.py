@@ -226,8 +226,8 @@ def manifest_entries(spark: SparkSession, sf: str) -> DataFrame:
     entry = F.struct((F.col("page_id") % 32).alias("archive_id"), F.md5("html").alias("sha256"), F.length("html").alias("bytes"), preview.alias("page_previews"))
     value = F.to_json(F.struct(F.lit(1).alias("version"), F.create_map(F.col("url"), entry).alias("files")))
     texts = table(spark, sf, "pages").select("page_id", value.alias("value"))
-    rows = state.manifest_rows(texts).withColumn("previews", F.array_join("previews", ",")).select("url", "archive_id", "sha256", "bytes", "previews", "profile")
-    return texts.join(table(spark, sf, "pages").select("page_id", F.col("url")), "page_id").select("page_id", "url").join(rows, "url")
+    rows = state.manifest_rows(texts, keep=["page_id"]).withColumn("previews", F.array_join("previews", ","))
+    return rows.select("page_id", "url", "archive_id", "sha256", "bytes", "previews", "profile")
 
 
 @query("SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN n_name WHEN n_nationkey % 3 = 1 THEN 'fallback' END AS text FROM nation")

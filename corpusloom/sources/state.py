@@ -32,12 +32,16 @@ def read_state(spark: SparkSession, path: str, schema: str, version: int | None
     return rows
 
 
-def manifest_rows(texts: DataFrame, text_col: str = "value") -> DataFrame:
-    """One row per url of a manifest's JSON: url, archive_id, path, sha256, bytes, optimized, webp_max_dimension, previews, profile."""
+def manifest_rows(texts: DataFrame, text_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """One row per url of a manifest's JSON: url, archive_id, path, sha256, bytes, optimized, webp_max_dimension, previews, profile.
+
+    The columns ``keep`` of ``texts`` come before them: of several manifests they tell which one a row is from.
+    """
     entry = "struct<archive_id:int,path:string,sha256:string,bytes:bigint,optimized:boolean,webp_max_dimension:int,page_previews:struct<count:int,paths:array<string>,profile:string>>"
     files = F.from_json(text_col, f"struct<version:int,files:map<string,{entry}>>")["files"]
-    return texts.select(F.explode(files).alias("url", "e")).select(
-        "url", "e.archive_id", "e.path", "e.sha256", "e.bytes", "e.optimized", "e.webp_max_dimension",
+    kept = keep or []
+    return texts.select(*kept, F.explode(files).alias("url", "e")).select(
+        *kept, "url", "e.archive_id", "e.path", "e.sha256", "e.bytes", "e.optimized", "e.webp_max_dimension",
         F.coalesce("e.page_previews.paths", F.array().cast("array<string>")).alias("previews"), F.col("e.page_previews.profile").alias("profile"),
     )
 
