@@ -297,8 +297,8 @@ UNION ALL SELECT 'browser_files', (SELECT count(*) FROM (SELECT DISTINCT repo, f
     )
 )
 def catalog_build(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole catalog of listing lines with some sizes; the rows of each of its frames."""
-    sizes = page_records(spark, sf).where("record_id % 3 = 0").select("repo", "path", F.lit(7).cast("bigint").alias("size"))
+    """The whole catalog of listing lines with sizes of some lines; the rows of each of its frames."""
+    sizes = page_records(spark, sf).where("record_id % 3 = 0").select("record_id", "repo", "path", F.lit(7).cast("bigint").alias("size"))
     out = composites.build_catalog(_lines(spark, sf), sizes)
     out["sized"] = out.pop("records").where("size = 7")
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in out.items()]
