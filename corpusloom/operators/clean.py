@@ -11,9 +11,13 @@ from ..functions.udfs import MOJIBAKE_SIGNS, clean_authors_udf, cleaned, split_a
 from .audit import has_content
 
 
-def html_text(c: Column) -> Column:
-    """Without tags, with entities resolved, stripped."""
-    return strip(unescaped(F.regexp_replace(c, "(?s)<[^>]*>", "")))
+def html_text(c: Column, terminated: bool = False) -> Column:
+    """Without tags, with entities resolved, stripped.
+
+    With ``terminated``, only entities that end in a semicolon: a name cut off at a tag
+    runs into what follows the tag and would be taken for an old name without one.
+    """
+    return strip(unescaped(F.regexp_replace(c, "(?s)<[^>]*>", ""), terminated))
 
 
 def clean_articles(articles: DataFrame, archive_col: str = "archive_id") -> DataFrame:
